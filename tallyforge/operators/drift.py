@@ -8,8 +8,13 @@ selected. With them the consecutive dumps of a producer are compared, and all re
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,84 +46,117 @@ FITS = {
 WEIGHTS = (0.6, 0.25, 0.15)
 #: A correspondence holds only if so large a share of the producer's values agrees with the reference table.
 AGREEMENT = 0.9
+#: Groups of producers whose graphs are flooded together.
+PRODUCER_BUCKETS = 64
 #: Dumps of a producer that are put in order together.
 DUMPS_PER_BUCKET = 1024
 
 
-def _kind(v: Column) -> Column:
-    """Type of a JSON value as written; null for null."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(s == "BIGINT", "whole")
-        .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "decimal")
-        .when(s == "STRING", "text")
-        .when(s == "BOOLEAN", "truth")
-        .when(s != "VOID", "nested")
-    )
-
-
-def _number(v: Column) -> Column:
-    """A JSON value as a number: truth values and their usual words are 1 and 0; null where it is none."""
-    text = F.lower(F.trim(v.try_cast("string")))
-    return (
-        F.when(text.isin("true", "yes", "y", "t"), 1.0)
-        .when(text.isin("false", "no", "n", "f"), 0.0)
-        .otherwise(text.try_cast("double"))
-    )
+#: Words for truth values.
+TRUTHS = {"true": 1.0, "yes": 1.0, "y": 1.0, "t": 1.0, "false": 0.0, "no": 0.0, "n": 0.0, "f": 0.0}
+#: Written types from the weakest to the strongest claim; a field of several slots has the strongest of them.
+KINDS = ("whole", "decimal", "truth", "text", "nested")
+RECORD_SCHEMA = "producer string, seq_no int, dump_id bigint, rec_no int, jet_id bigint, fields array<struct<name string, kind string, mark double, vals array<double>>>"
+
+
+#: Written type of each Python type that JSON gives; all others are nested.
+KIND_OF = {type(None): None, bool: "truth", int: "whole", float: "decimal", str: "text"}
+
+
+def _number(v: object) -> float | None:
+    """A JSON value as a number: truth values and their usual words are 1 and 0; None where it is none."""
+    if v.__class__ is str:
+        word = v.strip().lower()
+        if word in TRUTHS:
+            return TRUTHS[word]
+        try:
+            return float(word)
+        except ValueError:
+            return None
+    return float(v) if isinstance(v, (bool, int, float)) else None
+
+
+def _objects(payload: str | None) -> list[dict]:
+    """The objects of a payload: of an array, or one a line; lines that are none are passed over."""
+    body = (payload or "").strip()
+    if body.startswith("["):
+        try:
+            found = json.loads(body)
+        except ValueError:
+            found = []
+    else:
+        found = []
+        for line in body.splitlines():
+            try:
+                found.append(json.loads(line))
+            except ValueError:
+                continue
+    return [x for x in found if isinstance(x, dict)]
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        source, number, ids, ends = [], [], [], [0]
+        names, kinds, marks, vals, val_ends = [], [], [], [], [0]
+
+        def add(name: str, values: list) -> None:
+            known = {KIND_OF.get(v.__class__, "nested") for v in values} - {None}
+            numbers = [v if v.__class__ is float else _number(v) for v in values]
+            names.append(name)
+            kinds.append(max(known, key=KINDS.index) if len(known) > 1 else known.pop() if known else None)
+            marks.append(None if None in numbers else reduce(lambda a, v: 2.0 * a + v, numbers, 0.0))
+            vals.extend(numbers)
+            val_ends.append(len(vals))
+
+        for row, payload in enumerate(batch.column("payload").to_pylist()):
+            for n, record in enumerate(_objects(payload)):
+                slots = [s for s in t if isinstance(s, dict)] if isinstance(t := record.get("tracks"), list) else []
+                jet = _number(record.get("jet_id"))
+                source.append(row)
+                number.append(n)
+                ids.append(int(jet) if jet is not None and jet == jet // 1 else None)
+                for k, v in record.items():
+                    if k not in ("jet_id", "tracks"):
+                        add(k, [v])
+                for k in dict.fromkeys(k for s in slots for k in s):
+                    add(f"tracks.{k}", [s.get(k) for s in slots])
+                ends.append(len(names))
+        at = pa.array(source, pa.int32())
+        whose = [batch.column(c).take(at) for c in ("producer", "seq_no", "dump_id")]
+        lists = pa.ListArray.from_arrays(pa.array(val_ends, pa.int32()), pa.array(vals, pa.float64()))
+        fields = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(kinds, pa.string()), pa.array(marks, pa.float64()), lists], ["name", "kind", "mark", "vals"])
+        yield pa.RecordBatch.from_arrays(
+            [*whose, pa.array(number, pa.int32()), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fields)],
+            names=["producer", "seq_no", "dump_id", "rec_no", "jet_id", "fields"],
+        )
 
 
 def records(dumps: DataFrame) -> DataFrame:
     """One row per record of every dump: producer, seq_no, dump_id, rec_no, jet_id and its fields.
 
-    ``fields`` holds name, kind (text, truth, whole, decimal; null if only nulls) and vals, the values as numbers
-    (one, or one per slot for a field inside the list ``tracks``). A payload is an array of objects or one object a
-    line; null, empty and unreadable payloads and lines that are no objects give no rows.
+    ``fields`` holds name, kind (text, truth, whole, decimal; null if only nulls), vals, the values as numbers (one,
+    or one per slot for a field inside the list ``tracks``), and mark, one number made of them. A payload is an array
+    of objects or one object a line; null, empty and unreadable payloads and lines that are no objects give no rows.
+    Read in Python: Spark's functions for JSON of unknown fields (variant) took seven times as long here.
     """
-    body = F.trim(F.col("payload"))
-    lines = F.transform(F.split(body, r"\r?\n"), lambda s: F.try_parse_json(s))
-    found = F.when(body.startswith("["), F.try_parse_json(body).try_cast("array<variant>")).otherwise(lines)
-    recs = dumps.select("producer", "seq_no", "dump_id", F.posexplode(found).alias("rec_no", "__v")).select(
-        "producer",
-        "seq_no",
-        "dump_id",
-        "rec_no",
-        F.try_variant_get("__v", "$.jet_id", "bigint").alias("jet_id"),
-        F.col("__v").try_cast("map<string,variant>").alias("__top"),
-        F.try_variant_get("__v", "$.tracks", "array<map<string,variant>>").alias("__slots"),
-    )
-    top = F.transform(
-        F.filter(F.map_entries("__top"), lambda e: ~e["key"].isin("jet_id", "tracks")),
-        lambda e: F.struct(e["key"].alias("name"), _kind(e["value"]).alias("kind"), F.array(_number(e["value"])).alias("vals")),
-    )
-    slots = F.coalesce("__slots", F.expr("cast(array() as array<map<string,variant>>)"))
-    names = F.array_distinct(F.flatten(F.transform(slots, lambda s: F.map_keys(s))))
-    inner = F.transform(
-        names,
-        lambda n: F.struct(
-            F.concat(F.lit("tracks."), n).alias("name"),
-            F.array_max(F.transform(slots, lambda s: _kind(F.try_element_at(s, n)))).alias("kind"),
-            F.transform(slots, lambda s: _number(F.try_element_at(s, n))).alias("vals"),
-        ),
-    )
-    return recs.where("__top is not null").select("producer", "seq_no", "dump_id", "rec_no", "jet_id", F.concat(top, inner).alias("fields"))
-
-
-def _mark(vals: Column) -> Column:
-    """One number for the values of a field: weighted by place, so that equal lists have equal marks; null if any is null."""
-    return F.aggregate(F.transform(vals, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    whose = [F.col("producer"), F.col("seq_no").cast("int"), F.col("dump_id").cast("bigint")]
+    return dumps.select(*whose, "payload").mapInArrow(_parse, RECORD_SCHEMA)
 
 
 def _reference(jets: DataFrame) -> DataFrame:
     """The mark of every quantity of every jet, each jet once."""
     top = [F.col(c).cast("double").alias(f"q_{c}") for c in TOP]
-    inner = [_mark(F.col(f"tracks.{c}").cast("array<double>")).alias(f"q_tracks.{c}") for c in NESTED]
-    rows = jets.where("jet_id is not null").select("jet_id", *top, *inner)
+
+    def mark(column: str) -> Column:
+        return F.aggregate("tracks", F.lit(0.0), lambda a, t: a * 2 + t[column].cast("double"))
+
+    rows = jets.where("jet_id is not null").select("jet_id", *top, *[mark(c).alias(f"q_tracks.{c}") for c in NESTED])
     return rows.groupBy("jet_id").agg(*[F.max(f"`q_{q}`").alias(f"q_{q}") for q in QUANTITIES])
 
 
 def _agrees(value: Column, true: Column) -> Column:
     """Equal but for rounding: to whole numbers where they are large, to three places where they are small."""
-    return F.abs(value - true) <= F.when(F.abs(true) > 100, 0.51).otherwise(0.0061)
+    return F.abs(value - true) <= F.when(F.abs(true) > 100, 0.51).otherwise(0.0081)
 
 
 def agreement(recs: DataFrame, jets: DataFrame) -> DataFrame:
@@ -127,7 +165,7 @@ def agreement(recs: DataFrame, jets: DataFrame) -> DataFrame:
         recs.where("jet_id is not null")
         .join(_reference(jets), "jet_id")
         .select("producer", F.explode("fields").alias("f"), *[F.col(f"`q_{q}`") for q in QUANTITIES])
-        .select("producer", F.col("f.name").alias("name"), F.col("f.kind").alias("kind"), _mark(F.col("f.vals")).alias("v"), *[F.col(f"`q_{q}`") for q in QUANTITIES])
+        .select("producer", F.col("f.name").alias("name"), F.col("f.kind").alias("kind"), F.col("f.mark").alias("v"), *[F.col(f"`q_{q}`") for q in QUANTITIES])
         .where("v is not null")
     )
     nested = F.col("name").startswith("tracks.")
@@ -151,70 +189,109 @@ def name_similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y)
 
 
-def flood(pairs: pd.DataFrame, tolerance: float = 1e-4, rounds: int = 200) -> pd.Series:
-    """Similarities of one producer's field and column pairs after flooding.
+def flood(pairs: pd.DataFrame, tolerance: float = 1e-3, rounds: int = 200) -> np.ndarray:
+    """Similarities of field and column pairs after flooding, each producer's graph on its own.
 
-    ``pairs`` has name, kind, quantity and first (the first similarity). Neighbours of a pair (field, column) are the
-    pair of their types and the pair of their parents (the record or the list ``tracks``); a pair's score flows to
-    its neighbours in equal shares, all scores are divided by the largest, until they stand still.
+    ``pairs`` has producer, name, kind, quantity and first (the first similarity), sorted by producer. Neighbours of
+    a pair (field, column) are the pair of their types and the pair of their parents (the record or the list
+    ``tracks``); a pair's score flows to its neighbours in equal shares, all scores of a producer are divided by its
+    largest, until they stand still.
     """
+    producer = pd.factorize(pairs["producer"], use_na_sentinel=False)[0]
+    starts = np.flatnonzero(np.r_[True, producer[1:] != producer[:-1]])
     first = pairs["first"].to_numpy(float)
-    kinds = pairs["kind"].fillna("").to_numpy(object)
-    types = pd.Series([f"{a}|{QUANTITIES[q]}" for a, q in zip(kinds, pairs["quantity"], strict=True)])
-    parents = pd.Series([f"{'.' in n}|{'.' in q}" for n, q in zip(pairs["name"], pairs["quantity"], strict=True)])
-    score, groups = first.copy(), []
-    for of, start in ((types, [FITS.get(tuple(t.split("|")), 0.1) for t in pd.unique(types)]), (parents, [1.0] * parents.nunique())):
-        code, known = pd.factorize(of)
-        groups.append([code, np.bincount(code, minlength=len(known)), np.array(start), np.array(start)])
+    column_type = pairs["quantity"].map(QUANTITIES)
+    fits = np.array([FITS.get(x, 0.1) for x in zip(pairs["kind"], column_type, strict=True)])
+    score, graphs = first.copy(), []
+    for by, start in (([pairs["kind"].fillna(""), column_type], fits), ([pairs["name"].str.contains(".", regex=False)], np.ones(len(pairs)))):
+        code = pd.DataFrame({"p": producer} | dict(enumerate(by))).groupby(["p", *range(len(by))], sort=True).ngroup().to_numpy()
+        size = np.bincount(code)
+        at_start = np.zeros(len(size))
+        at_start[code] = start
+        owner = np.zeros(len(size), int)
+        owner[code] = producer
+        graphs.append({"code": code, "size": size, "start": at_start, "now": at_start.copy(), "owner": owner})
     for _ in range(rounds):
-        flow = np.zeros_like(score)
-        sent = []
-        for code, size, start, now in groups:
-            flow += (start + now)[code] / size[code]
-            sent.append(np.bincount(code, weights=(first + score) / len(groups), minlength=len(size)))
-        new = first + score + flow
-        top = max(new.max(), *[(g[2] + g[3] + s).max() for g, s in zip(groups, sent, strict=True)])
-        moved = np.abs(new / top - score).max()
-        score = new / top
-        for g, s in zip(groups, sent, strict=True):
-            g[3] = (g[2] + g[3] + s) / top
+        new = first + score + sum(((g["start"] + g["now"]) / g["size"])[g["code"]] for g in graphs)
+        top = np.maximum.reduceat(new, starts)
+        for g in graphs:
+            g["now"] = g["start"] + g["now"] + np.bincount(g["code"], weights=(first + score) / len(graphs), minlength=len(g["size"]))
+            np.maximum.at(top, g["owner"], g["now"])
+        new = new / top[producer]
+        for g in graphs:
+            g["now"] = g["now"] / top[g["owner"]]
+        moved = np.abs(new - score).max()
+        score = new
         if moved < tolerance:
             break
-    return pd.Series(score, index=pairs.index)
+    return score
 
 
 def correspondences(recs: DataFrame, jets: DataFrame) -> DataFrame:
     """The column (``quantity``) that each producer's field carries: producer, name, quantity, score.
 
     A field gets the column of highest score among those that AGREEMENT of its values agree with; a field that
-    agrees with none (or has no values of known jets) is left out. One group per producer of its distinct fields.
+    agrees with none (or has no values of known jets) is left out. Producers are flooded together by hash bucket;
+    a bucket has as many rows as its producers have distinct fields, times the columns.
     """
     seen = agreement(recs, jets)
     overall = seen.groupBy("name", "quantity").agg((F.sum("hits") / F.sum("n")).alias("everywhere"))
     pairs = seen.join(overall, ["name", "quantity"]).withColumn("here", F.col("hits") / F.col("n"))
 
     def select(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.reset_index(drop=True)
-        part["first"] = (
-            WEIGHTS[0] * part["here"] + WEIGHTS[1] * part["everywhere"] + WEIGHTS[2] * np.array([name_similarity(a, b) for a, b in zip(part["name"], part["quantity"], strict=True)])
-        )
+        part = part.sort_values(["producer", "name", "quantity"], ignore_index=True)
+        alike = {x: name_similarity(*x) for x in set(zip(part["name"], part["quantity"], strict=True))}
+        names = np.array([alike[x] for x in zip(part["name"], part["quantity"], strict=True)])
+        part["first"] = WEIGHTS[0] * part["here"] + WEIGHTS[1] * part["everywhere"] + WEIGHTS[2] * names
         part["score"] = flood(part)
         able = part[part["here"] >= AGREEMENT].sort_values(["score", "first", "quantity"], ascending=[False, False, True])
-        return able.drop_duplicates("name")[["producer", "name", "quantity", "score"]]
-
-    return pairs.groupBy("producer").applyInPandas(select, "producer string, name string, quantity string, score double")
+        return able.drop_duplicates(["producer", "name"])[["producer", "name", "quantity", "score"]]
+
+    bucket = F.pmod(F.xxhash64("producer"), F.lit(PRODUCER_BUCKETS)).alias("bucket")
+    return pairs.groupBy(bucket).applyInPandas(select, "producer string, name string, quantity string, score double")
+
+
+SCHEMA_SCHEMA = "producer string, seq_no int, dump_id bigint, fields array<struct<name string, kind string>>"
+
+
+def _type_of(known: set[str]) -> str | None:
+    """One type for all values of a field in a dump: whole numbers among numbers with decimal point make no other type."""
+    return "+".join(sorted(known - {"whole"} if "decimal" in known else known)) or None
+
+
+def _parse_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep, ends, names, kinds = [], [0], [], []
+        for row, payload in enumerate(batch.column("payload").to_pylist()):
+            if not (found := _objects(payload)):
+                continue
+            seen: dict[str, set] = {}
+            for record in found:
+                for k, v in record.items():
+                    if k == "tracks" and isinstance(v, list):
+                        for slot in v:
+                            for name, x in slot.items() if isinstance(slot, dict) else ():
+                                seen.setdefault(f"tracks.{name}", set()).add(x.__class__)
+                    elif k not in ("jet_id", "tracks"):
+                        seen.setdefault(k, set()).add(v.__class__)
+            keep.append(row)
+            for name in sorted(seen):
+                names.append(name)
+                kinds.append(_type_of({KIND_OF.get(c, "nested") for c in seen[name]} - {None}))
+            ends.append(len(names))
+        at = pa.array(keep, pa.int32())
+        fields = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(kinds, pa.string())], ["name", "kind"])
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(c).take(at) for c in ("producer", "seq_no", "dump_id")], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fields)],
+            names=["producer", "seq_no", "dump_id", "fields"],
+        )
 
 
-def _schemas(recs: DataFrame, columns: DataFrame) -> DataFrame:
-    """Per dump that holds records: producer, seq_no, dump_id and its fields as (name, kind, quantity), by name."""
-    kinds = (
-        recs.select("producer", "seq_no", "dump_id", F.explode_outer("fields").alias("f"))
-        .groupBy("producer", "seq_no", "dump_id", F.col("f.name").alias("name"))
-        .agg(*[F.max(F.col("f.kind") == k).alias(k) for k in ("text", "truth", "decimal", "whole", "nested")])
-    )
-    # Whole numbers among numbers with decimal point do not make another type.
-    said = F.concat_ws("+", *[F.when(F.col(k), k) for k in ("text", "truth", "decimal", "nested")], F.when(F.col("whole") & ~F.coalesce("decimal", F.lit(False)), "whole"))
-    named = kinds.select("producer", "seq_no", "dump_id", "name", F.when(said != "", said).alias("kind"))
+def _schemas(dumps: DataFrame, columns: DataFrame) -> DataFrame:
+    """Per dump that holds records: producer, seq_no, dump_id and its fields (``now``) as (name, kind, quantity), by name."""
+    whose = [F.col("producer"), F.col("seq_no").cast("int"), F.col("dump_id").cast("bigint")]
+    each = dumps.select(*whose, "payload").mapInArrow(_parse_schemas, SCHEMA_SCHEMA)
+    named = each.select("producer", "seq_no", "dump_id", F.inline_outer("fields"))
     carried = columns.select(F.col("producer").alias("__p"), F.col("name").alias("__n"), "quantity")
     same = F.col("producer").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n"))
     field = F.when(F.col("name").isNotNull(), F.struct("name", "kind", "quantity"))
@@ -254,7 +331,7 @@ def schema_changes(dumps: DataFrame, jets: DataFrame) -> DataFrame:
     ignored; an empty table gives no rows.
     """
     recs = records(dumps)
-    pairs = _with_preceding(_schemas(recs, correspondences(recs, jets))).where("old is not null")
+    pairs = _with_preceding(_schemas(dumps, correspondences(recs, jets))).where("old is not null")
     gone = F.filter("old", lambda o: ~F.exists("now", lambda n: n["name"] == o["name"]))
     came = F.filter("now", lambda n: ~F.exists("old", lambda o: n["name"] == o["name"]))
     step = pairs.select("dump_id", "old", "now", gone.alias("gone"), came.alias("came"))

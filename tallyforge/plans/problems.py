@@ -221,3 +221,64 @@ QUERIES = {
     f.__name__: f
     for f in (p1_found, p1_jets_by_label, p1_components_by_flavour, p2_found, p2_jets_once, p2_archive_index, p3_found, p3_mixed_jets, p3_shares, p4_found, p4_sample, p4_report, p4_campaign_report, p5_found, p5_jets_table)
 }
+
+_PARTS = f"""parts as (
+  select distinct component_id, config_id, {CANON.format('sample')} as sample, {CANON.format('flavour')} as flavour, num_jets, num_jets_estimate_available as estimate
+  from components where num_jets > 0
+), configs as (
+  select distinct config_id, campaign, {CANON.format('target')} as target_flavour, max_repeat from resampling_configs
+)"""
+
+SQL = {
+    "p1_found": f"""
+with v as (
+  select 'jets.flavour_label' as field_name, cast(flavour_label as varchar) as field_value from jets
+  union all select 'components.flavour', {CANON.format('flavour')} from components
+), n as (select field_name, field_value, count(*) as n from v group by all),
+t as (select field_name, count(*) as total from v group by all)
+select field_name, field_value from n join t using (field_name) where field_value is not null and n * 8 > total""",
+    "p1_jets_by_label": """
+select flavour_label, count(*) as n_rows,
+  sum(cast(pt as double)) filter (not isnan(pt) and not isinf(pt)) as sum_pt,
+  sum(cast(mass as double)) filter (not isnan(mass) and not isinf(mass)) as sum_mass,
+  sum(cast(pt_btagjes as double)) filter (not isnan(pt_btagjes) and not isinf(pt_btagjes)) as sum_pt_btagjes,
+  min(pt) as min_pt, max(pt) as max_pt
+from jets group by flavour_label""",
+    "p1_components_by_flavour": f"""
+select {CANON.format('flavour')} as flavour, count(*) as n_rows,
+  cast(sum(num_jets) filter (num_jets > 0) as bigint) as sum_num_jets,
+  cast(sum(num_jets_estimate_available) filter (num_jets_estimate_available > 0) as bigint) as sum_estimates
+from components group by 1""",
+    "p2_found": """
+with l as (
+  select file_id, file_format, string_split(payload, chr(10)) as lines from jet_files where payload is not null
+), nd as (
+  select file_id, unnest(lines) as line from l where file_format = 'ndjson'
+), cs as (
+  select file_id, list_position(string_split(lines[1], ','), 'jet_id') as place, len(string_split(lines[1], ',')) as width, unnest(list_slice(lines, 2, len(lines))) as line
+  from l where file_format = 'csv'
+), held as (
+  select distinct file_id, jet_id from (
+    select file_id, try_cast(json_extract_string(line, '$.jet_id') as bigint) as jet_id from nd where json_valid(line)
+    union all
+    select file_id, try_cast(list_extract(string_split(line, ','), place) as bigint) from cs where line <> '' and len(string_split(line, ',')) = width
+  ) where jet_id is not null
+)
+select distinct a.file_id as file_a, b.file_id as file_b from held a join held b on a.jet_id = b.jet_id and a.file_id < b.file_id""",
+    "p2_archive_index": """
+select file_id, cast(octet_length(cast(payload as blob)) as int) as n_bytes, true as intact from jet_files""",
+    "p3_found": f"""
+with {_PARTS}, s as (
+  select config_id, sample, sum(num_jets) as wanted, sum(estimate) as have from parts where estimate > 0 and sample is not null group by all
+)
+select s.config_id, s.sample from s join configs using (config_id) where wanted > max_repeat * have""",
+    "p4_found": f"""
+with {_PARTS}, w as (
+  select config_id, flavour, sum(num_jets) as wanted from parts where flavour is not null group by all
+), have as (
+  select campaign, flavour_label, count(distinct jet_id) as n from jets where flavour_label is not null group by all
+)
+select w.config_id, w.flavour from w join configs using (config_id) left join flavours f on f.flavour = w.flavour
+left join have h on h.campaign = configs.campaign and h.flavour_label = f.flavour_label
+where wanted > coalesce(n, 0)""",
+}
