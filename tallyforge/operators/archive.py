@@ -118,12 +118,12 @@ def records(files: DataFrame, payload: str = "payload", kind: str = "file_format
         .where(F.col("__v").isNotNull())
         .select(*keep, "pos", *[F.try_variant_get("__v", f"$.{c}", t).alias(c) for c, t in RECORD])
     )
-    head = F.transform(F.split(F.element_at("__lines", 1), ","), F.trim)
+    head = F.transform(F.split(F.element_at("__lines", 1), ","), lambda x: F.trim(x))
     csv = (
         lines.where(F.col(kind) == "csv")
         .select(*keep, head.alias("__head"), F.posexplode("__lines").alias("pos", "__line"))
         .where((F.col("pos") > 0) & (F.trim("__line") != ""))
-        .withColumn("__cells", F.transform(F.split("__line", ","), F.trim))
+        .withColumn("__cells", F.transform(F.split("__line", ","), lambda x: F.trim(x)))
         .where(F.size("__cells") == F.size("__head"))
         .where(F.array_contains("__head", F.lit("jet_id")))
         .withColumns({f"__at_{c}": F.array_position("__head", F.lit(c)).cast("int") for c, _ in RECORD})

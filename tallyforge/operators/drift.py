@@ -165,7 +165,7 @@ def agreement(recs: DataFrame, jets: DataFrame) -> DataFrame:
         recs.where("jet_id is not null")
         .join(_reference(jets), "jet_id")
         .select("producer", F.explode("fields").alias("f"), *[F.col(f"`q_{q}`") for q in QUANTITIES])
-        .select("producer", F.col("f.name").alias("name"), F.col("f.kind").alias("kind"), F.col("f.mark").alias("v"), *[F.col(f"`q_{q}`") for q in QUANTITIES])
+        .select("producer", F.col("f.name").alias("name"), F.array_position(F.array(*map(F.lit, KINDS)), F.col("f.kind")).alias("kind"), F.col("f.mark").alias("v"), *[F.col(f"`q_{q}`") for q in QUANTITIES])
         .where("v is not null")
     )
     nested = F.col("name").startswith("tracks.")
@@ -175,7 +175,8 @@ def agreement(recs: DataFrame, jets: DataFrame) -> DataFrame:
         count += [F.count(F.when(here & true.isNotNull() & ~F.isnan(true), 1)).alias(f"n{i}"), F.count(F.when(here & _agrees(F.col("v"), true), 1)).alias(f"h{i}")]
     wide = rows.groupBy("producer", "name").agg(F.max("kind").alias("kind"), *count)
     each = F.array(*[F.struct(F.lit(q).alias("quantity"), F.col(f"n{i}").alias("n"), F.col(f"h{i}").alias("hits")) for i, q in enumerate(QUANTITIES)])
-    return wide.select("producer", "name", "kind", F.inline(each)).where("n > 0")
+    kind = F.try_element_at(F.array(*map(F.lit, KINDS)), F.nullif(F.col("kind").cast("int"), F.lit(0)))
+    return wide.select("producer", "name", kind.alias("kind"), F.inline(each)).where("n > 0")
 
 
 def _trigrams(name: str) -> set[str]:
