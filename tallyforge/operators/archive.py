@@ -8,6 +8,11 @@ records out as a few well-sized files per label, each record once.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -75,31 +80,43 @@ def _by_start(a: Column, b: Column) -> Column:
     return F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0)
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        blocks, lists = batch.column("block"), batch.column("entries")
+        entries, owner = lists.flatten(), pc.list_parent_indices(lists).to_pylist()
+        column = lambda name: entries.field(entries.type.get_field_index(name))
+        views = [memoryview(b.as_buffer()) if b.is_valid else memoryview(b"") for b in blocks]
+        bodies, intact = [], []
+        for i, offset, length, checksum in zip(owner, column("offset").to_pylist(), column("length").to_pylist(), column("checksum").to_pylist(), strict=True):
+            body = None if length is None else views[i][offset : offset + length]
+            bodies.append(body)
+            intact.append(checksum is None if body is None else hashlib.sha256(body).hexdigest() == checksum)
+        meta = column("meta")
+        yield pa.RecordBatch.from_arrays(
+            [column("path"), pa.array(bodies, pa.binary()), pa.array(intact), *meta.flatten()], names=["path", "bytes", "intact", *[f.name for f in meta.type]]
+        )
+
+
 def unpack(blocks: DataFrame) -> DataFrame:
-    """Every file of the blocks: path, payload, the columns of its meta, and ``intact`` (does the checksum hold)."""
-    cut = F.transform(
-        "entries",
-        lambda e: F.struct(
-            e["path"].alias("path"),
-            F.when(e["length"].isNotNull(), F.substring(F.col("block"), e["offset"].cast("int") + 1, e["length"])).alias("bytes"),
-            e["checksum"].alias("checksum"),
-            e["meta"].alias("meta"),
-        ),
-    )
-    files = blocks.select(F.explode(cut).alias("f")).select("f.*")
-    return files.select(
-        "path",
-        F.col("bytes").cast("string").alias("payload"),
-        F.sha2("bytes", 256).eqNullSafe(F.col("checksum")).alias("intact"),
-        "meta.*",
-    )
+    """Every file of the blocks: path, payload, ``intact`` (does the checksum hold) and the columns of its meta.
+
+    Blocks are cut in Python: Spark's substring copies a whole block for every file in it.
+    """
+    entry = blocks.schema["entries"].dataType.elementType
+    meta = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in entry["meta"].dataType)
+    path = entry["path"].dataType.simpleString()
+    files = blocks.select("block", "entries").mapInArrow(_cut, f"path {path}, bytes binary, intact boolean, {meta}")
+    return files.withColumn("payload", F.col("bytes").cast("string")).drop("bytes")
 
 
 def lookup(blocks: DataFrame, paths: DataFrame) -> DataFrame:
-    """The files whose path is in ``paths`` (one column, path): the index is searched, only their blocks are cut."""
-    index = blocks.select("shard", "block_no", F.explode("entries").alias("e"), "block")
-    hits = index.join(paths.select(F.col("path").alias("__p")).distinct(), on=F.col("e.path") == F.col("__p"), how="left_semi")
-    return hits.select(F.col("e.path").alias("path"), F.substring(F.col("block"), F.col("e.offset").cast("int") + 1, F.col("e.length")).cast("string").alias("payload"))
+    """The files whose path is in ``paths`` (one column, path): the index is searched, only blocks with hits are cut."""
+    wanted = paths.select(F.col("path").alias("__p")).distinct()
+    at = ["shard", "block_no", blocks.columns[0]]
+    index = blocks.select(*at, F.explode("entries").alias("e"))
+    hits = index.join(wanted, on=F.col("e.path") == F.col("__p"), how="left_semi").groupBy(*at).agg(F.collect_list("e").alias("entries"))
+    same = [hits[c].eqNullSafe(blocks[c]) for c in at]
+    return unpack(blocks.select(*at, "block").join(hits, on=same, how="inner").select("block", "entries"))
 
 
 def records(files: DataFrame, payload: str = "payload", kind: str = "file_format") -> DataFrame:
@@ -118,12 +135,12 @@ def records(files: DataFrame, payload: str = "payload", kind: str = "file_format
         .where(F.col("__v").isNotNull())
         .select(*keep, "pos", *[F.try_variant_get("__v", f"$.{c}", t).alias(c) for c, t in RECORD])
     )
-    head = F.transform(F.split(F.element_at("__lines", 1), ","), lambda x: F.trim(x))
+    head = F.split(F.trim(F.element_at("__lines", 1)), r"\s*,\s*")
     csv = (
         lines.where(F.col(kind) == "csv")
         .select(*keep, head.alias("__head"), F.posexplode("__lines").alias("pos", "__line"))
         .where((F.col("pos") > 0) & (F.trim("__line") != ""))
-        .withColumn("__cells", F.transform(F.split("__line", ","), lambda x: F.trim(x)))
+        .withColumn("__cells", F.split(F.trim("__line"), r"\s*,\s*"))
         .where(F.size("__cells") == F.size("__head"))
         .where(F.array_contains("__head", F.lit("jet_id")))
         .withColumns({f"__at_{c}": F.array_position("__head", F.lit(c)).cast("int") for c, _ in RECORD})
