@@ -1,0 +1 @@
+"""Operators on texts for training data of language models."""
