@@ -139,7 +139,7 @@ def pack(sized: DataFrame, containers: DataFrame, key: str = "doc_id") -> DataFr
         F.broadcast(many), on=(F.col("container") == F.col("__c")) & (F.col("size") == F.col("__s")), how="left"
     )
     bucket = F.floor(F.col("__u") * F.ceil(F.coalesce("n", F.lit(1)) / F.lit(BUCKET_ROWS)))
-    ranked = bucketed_rank(keyed.drop("__c", "__s", "n"), ["container", "size"], bucket, [F.col("__u"), F.col(key), F.col("part_no")], "rank")
+    ranked = bucketed_rank(keyed.drop("__c", "__s"), ["container", "size"], bucket, [F.col("__u"), F.col(key), F.col("part_no")], "rank")
     to = steps.select(F.col("container").alias("__c"), F.col("size").alias("__s"), "rank_from", "rank_to", "bin_from", "per_bin")
     at = (
         (F.col("container") == F.col("__c"))
