@@ -126,27 +126,23 @@ def records(files: DataFrame, payload: str = "payload", kind: str = "file_format
     jet_id. Blank lines, cut-off records, null and empty files give no rows; fields may lie in any order, missing
     or unreadable numbers are null. Lines may end in CR LF.
     """
-    lines = files.withColumn("__lines", F.split(F.regexp_replace(F.col(payload), "\r\n?", "\n"), "\n"))
     keep = [c for c in files.columns if c != payload]
-    ndjson = (
-        lines.where(F.col(kind) == "ndjson")
-        .select(*keep, F.posexplode("__lines").alias("pos", "__line"))
-        .withColumn("__v", F.try_parse_json("__line"))
-        .where(F.col("__v").isNotNull())
-        .select(*keep, "pos", *[F.try_variant_get("__v", f"$.{c}", t).alias(c) for c, t in RECORD])
+    is_json, is_csv = F.col(kind) == "ndjson", F.col(kind) == "csv"
+    lines = files.where(is_json | is_csv).withColumn("__lines", F.split(F.regexp_replace(F.col(payload), "\r\n?", "\n"), "\n"))
+    head = F.when(is_csv, F.split(F.trim(F.element_at("__lines", 1)), r"\s*,\s*"))
+    each = (
+        lines.select(*keep, head.alias("__head"), F.posexplode("__lines").alias("pos", "__line"))
+        .where((F.trim("__line") != "") & (is_json | (F.col("pos") > 0)))
+        .withColumn("__v", F.when(is_json, F.try_parse_json("__line")))
+        .withColumn("__cells", F.when(is_csv, F.split(F.trim("__line"), r"\s*,\s*")))
+        .where(F.col("__v").isNotNull() | (F.size("__cells") == F.size("__head")))
     )
-    head = F.split(F.trim(F.element_at("__lines", 1)), r"\s*,\s*")
-    csv = (
-        lines.where(F.col(kind) == "csv")
-        .select(*keep, head.alias("__head"), F.posexplode("__lines").alias("pos", "__line"))
-        .where((F.col("pos") > 0) & (F.trim("__line") != ""))
-        .withColumn("__cells", F.split(F.trim("__line"), r"\s*,\s*"))
-        .where(F.size("__cells") == F.size("__head"))
-        .where(F.array_contains("__head", F.lit("jet_id")))
-        .withColumns({f"__at_{c}": F.array_position("__head", F.lit(c)).cast("int") for c, _ in RECORD})
-        .select(*keep, "pos", *[F.when(F.col(f"__at_{c}") > 0, F.get("__cells", F.col(f"__at_{c}") - 1)).try_cast(t).alias(c) for c, t in RECORD])
-    )
-    return ndjson.unionByName(csv).where(F.col("jet_id").isNotNull())
+
+    def field(name: str, to: str) -> Column:
+        place = F.nullif(F.array_position("__head", F.lit(name)).cast("int"), F.lit(0))
+        return F.when(is_json, F.try_variant_get("__v", f"$.{name}", to)).otherwise(F.get("__cells", place - 1).try_cast(to))
+
+    return each.select(*keep, "pos", *[field(c, t).alias(c) for c, t in RECORD]).where(F.col("jet_id").isNotNull())
 
 
 #: The fields of a record and their types.

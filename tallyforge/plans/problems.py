@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.text import canonical
 from tallyforge.operators import archive, drift, mixing, proportional
 from tallyforge.operators.skew import salted_aggregate
-from tallyforge.session import read_table
+from tallyforge.session import cut_lineage, read_table
 
 CANON = "regexp_replace(lower({0}), '[\\s_-]+', '', 'g')"
 
@@ -133,7 +133,7 @@ def _mixed_jets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     _, targets = _mix_targets(spark, sf)
     wanted = targets.select("config_id", F.col("sample"), "campaign")
     jets = _campaign_jets(spark, sf).join(wanted, ["campaign", "sample"]).select("config_id", "sample", "jet_id", F.lit(1).alias("size"))
-    plan = mixing.source_plan(jets, targets, "config_id", "sample", "size")
+    plan = cut_lineage(mixing.source_plan(jets, targets, "config_id", "sample", "size"))
     return mixing.mix_sources(jets, plan, "config_id", "sample", ["jet_id"], "size"), plan
 
 
@@ -169,7 +169,8 @@ def _sample_targets(spark: SparkSession, sf: str) -> DataFrame:
 
 def _config_sample(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     jets = read_table(spark, sf, "jets").where("flavour_label is not null and campaign is not null")
-    targets = proportional.with_availability(jets, _sample_targets(spark, sf), "campaign", "flavour_label", "jet_id")
+    # Small and used several times: stored, as plans that hold it again and again need gigabytes on the driver.
+    targets = cut_lineage(proportional.with_availability(jets, _sample_targets(spark, sf), "campaign", "flavour_label", "jet_id"))
     return proportional.proportional_sample(jets, targets, "campaign", "flavour_label", "jet_id", "config_id"), targets
 
 
@@ -201,7 +202,7 @@ def p4_campaign_report(spark: SparkSession, sf: str) -> DataFrame:
     rows = flavours.agg(F.collect_list(F.struct("flavour_label", "target", "floor")).alias("rows"))
     size = jets.groupBy("campaign").agg((F.count_distinct("jet_id") / 2).cast("bigint").alias("seats"))
     wanted = size.select("campaign", "seats", F.explode(rows.scalar()).alias("r")).select("campaign", "seats", "r.*").withColumn("sample_of", F.col("campaign"))
-    targets = proportional.with_availability(jets, wanted, "campaign", "flavour_label", "jet_id")
+    targets = cut_lineage(proportional.with_availability(jets, wanted, "campaign", "flavour_label", "jet_id"))
     sample = proportional.proportional_sample(jets, targets, "campaign", "flavour_label", "jet_id", "sample_of")
     report = proportional.sample_report(sample, targets, "campaign", "flavour_label", "sample_of")
     return report.select("campaign", "flavour_label", "seats", "available", "taken", F.round("target_share", 9).alias("target_share"), F.round("actual_share", 9).alias("actual_share"), "short")
