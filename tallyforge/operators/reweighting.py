@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,9 +56,22 @@ def class_weights(hist: DataFrame, target: DataFrame, by: str, bins: Bins) -> Da
     return full.join(least, axes(bins)).select(by, *axes(bins), weight.alias("weight"))
 
 
-def weight_map(weights: DataFrame, by: str, bins: Bins) -> Column:
-    """All weights as one map from "class|bin|bin" to weight: as many entries as classes times filled bins, for nested lookups."""
-    return weights.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", by, *axes(bins)), "weight"))).alias("m")).scalar()
+def _flat(places: Sequence[Column], bins: Bins) -> Column:
+    """Number of a cell among all cells of the grid; null outside."""
+    cell = F.lit(0)
+    for place, e in zip(places, bins.values(), strict=True):
+        cell = cell * (len(e) - 1) + place
+    return cell
+
+
+def weight_lists(weights: DataFrame, by: str, bins: Bins) -> Column:
+    """All weights as one map from class to the list of its cells' weights, for lookups in nested rows by place."""
+    cells = 1
+    for e in bins.values():
+        cells *= len(e) - 1
+    filled = weights.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct(_flat([F.col(b) for b in axes(bins)], bins), "weight"))).alias("m"))
+    lists = filled.select(by, F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("w"))
+    return lists.agg(F.map_from_entries(F.collect_list(F.struct(by, "w")))).scalar()
 
 
 def apply_weights(df: DataFrame, weights: DataFrame, by: str, bins: Bins, out: str) -> DataFrame:
@@ -75,11 +88,11 @@ def nested_histogram(df: DataFrame, array: str, by: str, bins: Bins, valid: str
     return rows.select(F.col(f"e.{by}").alias(by), *[c.alias(b) for b, c in cells.items()]).dropna().groupBy(by, *axes(bins)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def nested_weights(df: DataFrame, array: str, weights: Column, by: str, bins: Mapping[str, Sequence[float]], valid: str = "valid") -> Column:
-    """One weight per element, by a map of ``weight_map``: no explode, no shuffle. Invalid elements get 0."""
+def nested_weights(df: DataFrame, array: str, weights: Column, by: str, bins: Bins, out: str, valid: str = "valid") -> DataFrame:
+    """``df`` with ``out``, one weight per element, by the lists of ``weight_lists``: no explode, no shuffle. Invalid elements get 0."""
 
     def one(e: Column) -> Column:
-        key = F.concat_ws("|", e[by], *[bin_index(e[v], b) for v, b in bins.items()])
-        return F.when(e[valid], F.coalesce(F.try_element_at(weights, key), F.lit(0.0))).otherwise(0.0)
+        cell = _flat([bin_index(e[v], b) for v, b in bins.items()], bins)
+        return F.when(e[valid], F.coalesce(F.get(F.try_element_at("__lists", e[by]), cell), F.lit(0.0))).otherwise(0.0)
 
-    return F.transform(array, lambda e: one(e))
+    return df.withColumn("__lists", weights).withColumn(out, F.transform(array, one)).drop("__lists")

@@ -242,7 +242,7 @@ def countup_targets(spark: SparkSession, sf: str) -> DataFrame:
 _RANKED = f"r as (select jet_id, b0, b1, row_number() over (partition by b0, b1 order by {md5_uniform_sql('up', 'jet_id')}, jet_id) as rank from b where flavour_label = 1)"
 _SPOT = md5_uniform_sql("up-bin", "concat_ws('|', b0, b1, i)")
 _COUNTUP = f"""{_QUOTAS}, {_RANKED},
-need as (select b0, b1, have, quota, sum(quota) over (order by b0, b1) as upto, sum(quota) over () as total
+need as (select b0, b1, have, quota, cast(sum(quota) over (order by b0, b1) as bigint) as upto, cast(sum(quota) over () as bigint) as total
   from q join (select b0, b1, count(*) as have from r group by all) using (b0, b1) where quota > 0),
 own as (select b0, b1, cast(floor({_SPOT} * have) + 1 as bigint) as rank from (select *, unnest(range(have + 1, quota + 1)) as i from need where quota > have)),
 again as (select floor({md5_uniform_sql('up-all', 'i')} * total) + 1 as place from (select total, unnest(range(1, greatest({DRAWS} - total, 0) + 1)) as i from (select distinct total from need))),
@@ -366,9 +366,10 @@ def rw_apply_nested(spark: SparkSession, sf: str) -> DataFrame:
     jets = _tracked(spark, sf)
     hist = reweighting.nested_histogram(jets, "tracks", "leptonid", TRACK_BINS)
     weights = reweighting.class_weights(hist, reweighting.target_histogram(hist, "leptonid", "mean", TRACK_BINS), "leptonid", TRACK_BINS)
-    each = reweighting.nested_weights(jets, "tracks", reweighting.weight_map(weights, "leptonid", TRACK_BINS), "leptonid", TRACK_BINS)
-    total = F.aggregate(each, F.lit(0.0), lambda a, w: a + w)
-    return jets.where(F.size("tracks") > 0).select("jet_id", F.round(total, 6).alias("total_weight"))
+    lists = reweighting.weight_lists(weights, "leptonid", TRACK_BINS)
+    each = reweighting.nested_weights(jets.where(F.size("tracks") > 0), "tracks", lists, "leptonid", TRACK_BINS, "weights")
+    total = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)
+    return each.select("jet_id", F.round(total, 6).alias("total_weight"))
 
 
 # --- merging -------------------------------------------------------------------------------------------------------
@@ -411,7 +412,7 @@ def precision_policy(spark: SparkSession, sf: str) -> DataFrame:
 def _moment_sql(variables: list[str], of: str, group: str, digits: int) -> str:
     return " union all ".join(
         f"select '{group}' as \"group\", '{v}' as variable, count(x) as n, round(avg(x), {digits}) as mean, round(stddev_pop(x), {digits}) as std from "
-        f"(select case when not isnan({c}) and not isinf({c}) then cast({c} as double) end as x from {of})"
+        f"(select cast({c} as double) as x from {of}) where isfinite(x)"
         for v, c in ((v.rpartition(".")[2], v) for v in variables)
     )
 

@@ -240,9 +240,9 @@ t as (select field_name, count(*) as total from v group by all)
 select field_name, field_value from n join t using (field_name) where field_value is not null and n * 8 > total""",
     "p1_jets_by_label": """
 select flavour_label, count(*) as n_rows,
-  sum(cast(pt as double)) filter (not isnan(pt) and not isinf(pt)) as sum_pt,
-  sum(cast(mass as double)) filter (not isnan(mass) and not isinf(mass)) as sum_mass,
-  sum(cast(pt_btagjes as double)) filter (not isnan(pt_btagjes) and not isinf(pt_btagjes)) as sum_pt_btagjes,
+  sum(cast(pt as double)) filter (isfinite(pt)) as sum_pt,
+  sum(cast(mass as double)) filter (isfinite(mass)) as sum_mass,
+  sum(cast(pt_btagjes as double)) filter (isfinite(pt_btagjes)) as sum_pt_btagjes,
   min(pt) as min_pt, max(pt) as max_pt
 from jets group by flavour_label""",
     "p1_components_by_flavour": f"""
