@@ -6,24 +6,26 @@ import re
 from collections.abc import Iterator
 
 _HEAD = re.compile(r"(?P<git_log>commit [0-9a-f]{7,40}\b)|(?P<patch_mail>From [0-9a-f]{7,40}\b)|(?P<svn_bridge>r\d+ \|)|(?P<forge_api>title:)")
+_TRAILING = re.compile(r"[ \t]+\n")
+_HEADERS = ("Author:", "AuthorDate:", "Commit:", "CommitDate:", "Date:", "Merge:")
 _PATCH = re.compile(r"^\[PATCH[^\]]*\]\s*")
 _DIFF = re.compile(r"^(?:diff --git |Index: |--- a/|Binary files )", re.MULTILINE)
-_SIGNATURE = re.compile(r"\n?-- \n[\d.]+\s*\Z")
+_SIGNATURE = re.compile(r"\n?-- ?\n[\d.]+\s*\Z")
 _PICKED = re.compile(r"\s*\(cherry picked from commit [0-9a-f]+\)\s*\Z")
 _RULE = re.compile(r"\n?-{40,}\s*\Z")
 
 
 def _header(text: str, name: str) -> tuple[str | None, str]:
-    """Value of the header line ``name`` if the text starts with it, and the text after it."""
-    if not text.startswith(name):
+    """Value of the header line ``name`` if the text starts with it, blank lines aside, and the text after it."""
+    if not text.lstrip("\n").startswith(name):
         return None, text
-    line, _, rest = text.partition("\n")
+    line, _, rest = text.lstrip("\n").partition("\n")
     return line[len(name) :].strip(), rest
 
 
 def parts(text: str) -> dict[str, str | None]:
     """message, author and other (what stands where the diff should, if that is no diff), or whole for a text without layout."""
-    text = text.replace("\r\n", "\n").replace("\r", "\n").lstrip("﻿")
+    text = _TRAILING.sub("\n", text.replace("\r\n", "\n").replace("\r", "\n")).lstrip("﻿\n")
     text = _PICKED.sub("\n", text)
     head = _HEAD.match(text)
     kind = head.lastgroup if head else None
@@ -33,15 +35,15 @@ def parts(text: str) -> dict[str, str | None]:
     author, found = None, _DIFF.search(rest)
     before, diff = (rest[: found.start()], None) if found else (rest, "")
     if kind == "git_log":
-        while before and not before.startswith(("    ", "\n")):
-            line, _, before = before.partition("\n")
+        while before.lstrip("\n").startswith(_HEADERS):
+            line, _, before = before.lstrip("\n").partition("\n")
             if line.startswith("Author:"):
                 author = line[7:].strip()
         lines = before.split("\n")
         n = 0
         while n < len(lines) and (lines[n].startswith("    ") or not lines[n].strip()):
             n += 1
-        message, other = "\n".join(x[4:] for x in lines[:n]), "\n".join(lines[n:])
+        message, other = "\n".join(x[4:] if x.startswith("    ") else x for x in lines[: None if found else n]), "" if found else "\n".join(lines[n:])
     elif kind == "patch_mail":
         author, before = _header(before, "From:")
         subject, before = _header(before, "Subject:")

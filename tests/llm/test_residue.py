@@ -53,6 +53,8 @@ def test_parts(layout):
     got = parts(text)
     assert got["message"].strip() == "Fix it" and got["author"] == "A B <a@b.example>" and got["other"] is None
     assert parts(text.replace("\n", "\r\n")) == got
+    loose = parts(text.replace("\nAuthor:", "\n  \n\nAuthor:").replace("\nauthor:", " \n\nauthor:").replace("\nFrom:", "\n\nFrom:").replace("\n---\n", "  \n---  \n"))
+    assert loose["message"].strip() == "Fix it" and loose["author"] == got["author"] and loose["other"] is None
     assert not [p for _, p in pieces(text) if label(p)]
 
 
