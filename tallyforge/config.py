@@ -142,3 +142,12 @@ def _check_ratios(components: list[Component]) -> None:
     for other in normal[1:]:
         if other.keys() != normal[0].keys() or any(abs(other[f] - normal[0][f]) > 1e-5 for f in other):
             raise ValueError(f"flavour shares differ between regions: {normal[0]} and {other}")
+
+
+def cuts_of_all_splits(config: Mapping) -> dict[str, dict[str, Cuts]]:
+    """For every sample, the cuts of each split and component: what one scan of the sample has to route."""
+    out: dict[str, dict[str, Cuts]] = {}
+    for split in SPLITS:
+        for c in parse(config, split).components:
+            out.setdefault(c.sample, {})[f"{split}_{c.name}"] = c.cuts
+    return out

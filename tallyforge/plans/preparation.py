@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tallyforge.functions.binning import edges, subdivide, with_overflow
 from tallyforge.functions.cuts import Cuts
 from tallyforge.functions.randomness import md5_uniform, md5_uniform_sql
-from tallyforge.functions.text import canonical
+from tallyforge.functions.text import canonical, name_part
 from tallyforge.operators import histograms, merging, normalisation, quality, reporting, resampling, reweighting, splitting
 from tallyforge.session import read_table
+from tallyforge.sources import tables
 
 PT = edges([[0, 250_000, 5], [250_000, 6_000_000, 5]])
 ETA = edges([[0, 2.5, 5]])
@@ -218,6 +219,22 @@ def hist_subdivided(spark: SparkSession, sf: str) -> DataFrame:
     return histograms.histogram(_labelled(spark, sf, "pt"), [], {"pt": _SUB})
 
 
+@_query(f"""with {L}, r as (select *, row_number() over (partition by flavour_label order by {md5_uniform_sql('some', 'jet_id')}, jet_id) as rank from l),
+few as (select * from r where rank <= 200), b as ({_binned('few', BINS)}) select flavour_label, b0, b1, count(*) as n from b group by all""")
+def hist_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """Histograms from at most 200 random jets of each class."""
+    jets = resampling.random_rank(_labelled(spark, sf, "pt", "abs_eta"), ["flavour_label"], "jet_id", "some").where("rank <= 200")
+    return histograms.histogram(jets, ["flavour_label"], BINS)
+
+
+@_query(f"""with {J}, t as (select count(*) as n from j), s as (select pt, abs_eta from j, t where {md5_uniform_sql('est', 'jet_id')} < 500.0 / n)
+select round(count(*) filter (pt > 50000 and abs_eta < 1.5) / count(*) * (select n from t), 6) as rows from s""")
+def estimate_available(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that meet cuts, estimated from about 500."""
+    cuts = Cuts.of(["pt > 50000", "abs_eta < 1.5"]).column()
+    return tables.estimated_rows(_jets(spark, sf, "pt", "abs_eta"), cuts, 500, "jet_id", "est").withColumn("rows", F.round("rows", 6))
+
+
 # --- resampling ----------------------------------------------------------------------------------------------------
 @_query(f"with {L} select flavour_label, count(*) as total, greatest(round(1000 * 1.1 / count(*), 3), 0.1) as fraction from l group by flavour_label")
 def auto_fraction(spark: SparkSession, sf: str) -> DataFrame:
@@ -481,6 +498,14 @@ def dsid_parse(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query(f"""with {J}, x as (select string_split('user.' || campaign || '.' || coalesce({CANON_SAMPLE}, ''), '.') as p from j)
+select p[2] as scope, coalesce(nullif(p[3], ''), 'unknown') as process, count(*) as n from x group by all""")
+def name_parts(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.concat(F.lit("user."), "campaign", F.lit("."), F.coalesce(canonical("sample"), F.lit("")))
+    rows = _jets(spark, sf, "campaign", "sample").select(name.alias("name"))
+    return rows.groupBy(name_part("name", 2, "unknown").alias("scope"), name_part("name", 3, "unknown").alias("process")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @_query(f"""with {J}, c as (select campaign, {CANON_SAMPLE} as sample, count(*) as n from j where sample is not null group by all)
 select campaign, count(*) as samples, min(n) as smallest, max(n) as largest, round(exp(avg(ln(n))), 6) as geometric_mean, round(max(n) / min(n), 6) as spread,
 round(greatest(max(n) / exp(avg(ln(n))), exp(avg(ln(n))) / min(n)), 6) as deviation from c group by campaign""")

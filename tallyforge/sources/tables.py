@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.functions.randomness import md5_uniform
+
 
 def read_sample(spark: SparkSession, patterns: Sequence[str], renames: Mapping[str, str] | None = None) -> DataFrame:
     """All files of a sample as one table; ``renames`` maps stored names to used ones."""
@@ -57,3 +59,16 @@ def nest(parent: DataFrame, child: DataFrame, key: str, name: str) -> DataFrame:
     out = parent.join(rows, key, "left")
     kind = rows.schema[name].dataType.simpleString()
     return out.withColumn(name, F.coalesce(name, F.expr(f"cast(array() as {kind})")))
+
+
+def estimated_rows(df: DataFrame, cuts: Column, n: int, key: str, seed: object) -> DataFrame:
+    """One row: how many rows meet the cuts (``rows``), counted exactly if ``n`` is not positive, else scaled up from about ``n`` rows.
+
+    The rows looked at are those of small random number: a filter, with which the scan's other columns are not decoded twice.
+    """
+    if n <= 0:
+        return df.where(cuts).agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    some = df.where(md5_uniform(seed, key) < F.lit(float(n)) / total)
+    seen, met = F.count(F.lit(1)), F.count(F.when(cuts, 1))
+    return some.agg((F.try_divide(met, seen) * total).alias("rows"))

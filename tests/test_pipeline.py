@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge import cli
-from tallyforge.config import load_yaml, parse
+from tallyforge.config import cuts_of_all_splits, load_yaml, parse
+from tallyforge.functions.text import match_label, with_suffix
 from tallyforge.operators import normalisation
 from tallyforge.plans.pipeline import Pipeline
 from tallyforge.sources import tables
@@ -139,6 +140,16 @@ def test_sources(spark, data, tmp_path):
     assert tables.read_sample(spark, [str(tmp_path / "a")], {"v": "value"}).columns == ["id", "value"]
 
 
+def test_names_and_estimates(spark):
+    assert match_label("ttbar_pt", {"pt": "momentum", "PT": "x", "ttbar": "tt"}) == "tt" and match_label("x", {"y": "z"}) == "x"
+    assert with_suffix("a.b/c.h5", "train") == "a.b/c_train.h5" and with_suffix("a.b/c", "v") == "a.b/c_v"
+    df = spark.range(2000)
+    assert tables.estimated_rows(df, F.col("id") < 500, 0, "id", 1).first()["rows"] == 500
+    assert abs(tables.estimated_rows(df, F.col("id") < 500, 800, "id", 1).first()["rows"] - 500) < 100
+    assert tables.estimated_rows(df.limit(0), F.col("id") < 500, 800, "id", 1).first()["rows"] is None
+    assert len(cuts_of_all_splits(CONFIG)["all"]) == 18
+
+
 def test_streaming(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df = spark.range(100).select((F.col("id") * 1.5).alias("x"), (F.col("id") % 3).cast("int").alias("label"))
