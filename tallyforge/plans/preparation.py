@@ -43,13 +43,14 @@ def _query(sql: str | None = None):
     return add
 
 
-def _jets(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """Each jet once."""
-    return read_table(spark, sf, "jets").select("jet_id", *columns).dropDuplicates(["jet_id"])
+def _jets(spark: SparkSession, sf: str, *columns: str, where: Column | str | None = None) -> DataFrame:
+    """Each jet once. Repeated rows have equal content, so conditions are applied first and reach the scan."""
+    rows = read_table(spark, sf, "jets").select("jet_id", *columns)
+    return (rows if where is None else rows.where(where)).distinct()
 
 
 def _labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return _jets(spark, sf, "flavour_label", *columns).where("flavour_label between 0 and 3")
+    return _jets(spark, sf, "flavour_label", *columns, where="flavour_label between 0 and 3")
 
 
 # --- SQL parts -----------------------------------------------------------------------------------------------------
@@ -77,13 +78,13 @@ def _binned(of: str, bins: dict, columns: str = "*") -> str:
 @_query(f"with {J} select jet_id, pt from j where pt > 50000 and abs_eta <= 2.0 and flavour_label <> 3")
 def cut_compare(spark: SparkSession, sf: str) -> DataFrame:
     cuts = Cuts.of(["pt > 50000", "abs_eta <= 2.0", "flavour_label != 3"])
-    return _jets(spark, sf, "pt", "abs_eta", "flavour_label").where(cuts.column()).select("jet_id", "pt")
+    return _jets(spark, sf, "pt", "abs_eta", "flavour_label", where=cuts.column()).select("jet_id", "pt")
 
 
 @_query(f"with {J} select jet_id from j where hadronconeexcltruthlabelid in (5, 4) and flavour_label not in (6, 7)")
 def cut_membership(spark: SparkSession, sf: str) -> DataFrame:
     cuts = Cuts.of([("hadronconeexcltruthlabelid", "in", [5, 4]), ("flavour_label", "notin", [6, 7])])
-    return _jets(spark, sf, "hadronconeexcltruthlabelid", "flavour_label").where(cuts.column()).select("jet_id")
+    return _jets(spark, sf, "hadronconeexcltruthlabelid", "flavour_label", where=cuts.column()).select("jet_id")
 
 
 @_query(f"with {J} select jet_id from j where (((eventnumber - 3000) % 7) + 7) % 7 >= 5")
@@ -109,7 +110,9 @@ _ROUTED = " union all ".join(
 
 
 def _routed(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return splitting.route(_jets(spark, sf, "pt", "hadronconeexcltruthlabelid", *columns), COMPONENTS)
+    low, high = map(float, reporting.full_range([r.bounds("pt") for r in REGIONS.values()]))
+    jets = _jets(spark, sf, "pt", "hadronconeexcltruthlabelid", *columns, where=(F.col("pt") > low) & (F.col("pt") < high))
+    return splitting.route(jets, COMPONENTS)
 
 
 @_query(f"with {J} {_ROUTED}")
@@ -406,7 +409,7 @@ def merge_file_index(spark: SparkSession, sf: str) -> DataFrame:
 @_query(f"""with {J}, t as (select jet_id, {CANON_SAMPLE} as sample from j where eventnumber % 10 = 9 and sample is not null)
 select jet_id, sample, cast((row_number() over (partition by sample order by {md5_uniform_sql('test', 'jet_id')}, jet_id) - 1) // 100 as int) as file_no from t""")
 def test_by_sample(spark: SparkSession, sf: str) -> DataFrame:
-    jets = _jets(spark, sf, "eventnumber", "sample").where(SPLITS["test"].column() & F.col("sample").isNotNull())
+    jets = _jets(spark, sf, "eventnumber", "sample", where=SPLITS["test"].column() & F.col("sample").isNotNull())
     return merging.file_index(jets.select("jet_id", canonical("sample").alias("sample")), "jet_id", 100, "test", by=["sample"])
 
 
@@ -414,7 +417,7 @@ def test_by_sample(spark: SparkSession, sf: str) -> DataFrame:
 r as (select jet_id, sample, row_number() over (partition by sample order by {md5_uniform_sql('equal', 'jet_id')}, jet_id) as rank from s)
 select jet_id, sample from r where rank <= (select min(n) from (select count(*) as n from s group by sample))""")
 def equal_rows(spark: SparkSession, sf: str) -> DataFrame:
-    jets = _jets(spark, sf, "sample").where("sample is not null").select("jet_id", canonical("sample").alias("sample"))
+    jets = _jets(spark, sf, "sample", where="sample is not null").select("jet_id", canonical("sample").alias("sample"))
     return merging.equal_rows(jets, "sample", "jet_id", "equal")
 
 
@@ -510,7 +513,7 @@ def name_parts(spark: SparkSession, sf: str) -> DataFrame:
 select campaign, count(*) as samples, min(n) as smallest, max(n) as largest, round(exp(avg(ln(n))), 6) as geometric_mean, round(max(n) / min(n), 6) as spread,
 round(greatest(max(n) / exp(avg(ln(n))), exp(avg(ln(n))) / min(n)), 6) as deviation from c group by campaign""")
 def sample_check(spark: SparkSession, sf: str) -> DataFrame:
-    jets = _jets(spark, sf, "campaign", "sample").where("sample is not null")
+    jets = _jets(spark, sf, "campaign", "sample", where="sample is not null")
     sizes = jets.groupBy("campaign", canonical("sample").alias("sample")).agg(F.count(F.lit(1)).alias("n"))
     return quality.size_spread(sizes, "campaign").withColumns({c: F.round(c, 6) for c in ("geometric_mean", "spread", "deviation")})
 
