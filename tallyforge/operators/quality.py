@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Production campaigns by reconstruction tag.
 CAMPAIGNS = {
-    "r13167": "MC20a", "r13297": "MC20a", "r13144": "MC20d", "r13298": "MC20d", "r13145": "MC20e", "r13299": "MC20e",
-    "r14622": "MC23a", "r14932": "MC23a", "r15224": "MC23c", "r15530": "MC23d", "r15906": "MC23d", "r16083": "MC23e", "r14799": "MC23a",
+    "r13167": "MC20a", "r14859": "MC20a", "r13144": "MC20d", "r14860": "MC20d", "r13145": "MC20e", "r14861": "MC20e", "r14622": "MC23a",
+    "r14932": "MC23a", "r15540": "MC23a", "r15224": "MC23d", "r15530": "MC23d", "r16083": "MC23e", "r14799": "MC23c - REMOVE",
 }
 
 

@@ -40,8 +40,11 @@ def project_weights(weights: DataFrame, by: str, bins: Bins, keep: Sequence[int]
 
 
 def compact_count(n: Column) -> Column:
-    """999, 100k, 10M."""
-    return F.when(n >= 1_000_000, F.concat(F.floor(n / 1_000_000), F.lit("M"))).when(n >= 1_000, F.concat(F.floor(n / 1_000), F.lit("k"))).otherwise(n.cast("string"))
+    """999, 100k, 1.5k, 10M: thousands and millions with at most six digits, without zeros at the end."""
+    millions = n / 1_000_000
+    short = F.when(millions < 10, F.round(millions, 5)).when(millions < 100, F.round(millions, 4)).when(millions < 1000, F.round(millions, 3)).otherwise(F.round(millions, 0))
+    plain = lambda x: F.regexp_replace(F.format_string("%.6f", x.cast("double")), r"\.?0+$", "")
+    return F.when(n >= 1_000_000, F.concat(plain(short), F.lit("M"))).when(n >= 1_000, F.concat(plain(n / 1_000), F.lit("k"))).otherwise(n.cast("string"))
 
 
 def name_suffix(*parts: Column) -> Column:

@@ -269,8 +269,9 @@ def test_reports(spark):
     assert reporting.stitching_windows([(250_000, 6_000_000), (20_000, 250_000)]) == [(150_000, 350_000)]
     assert reporting.stitching_windows([(0, 5_000), (5_000, 9_000)]) == [(4_900, 5_100)]
     assert reporting.full_range([(250_000, 6_000_000), (20_000, 250_000)]) == (20_000, 6_000_000)
-    df = spark.createDataFrame([(999,), (100_000,), (10_000_000,)], "n int")
-    assert [r[0] for r in df.select(reporting.compact_count(F.col("n"))).collect()] == ["999", "100k", "10M"]
+    ns = [0, 999, 1_000, 1_500, 100_000, 123_456, 10_000_000, 168_968_784, 1_234_567]
+    df = spark.createDataFrame([(n,) for n in ns], "n int").coalesce(1)
+    assert [r[0] for r in df.select(reporting.compact_count(F.col("n"))).collect()] == ["0", "999", "1k", "1.5k", "100k", "123.456k", "10M", "168.969M", "1.23457M"]
     xs = spark.createDataFrame([(0, x) for x in (-5.0, 0.0, 0.4, 9.99, 50.0, float("nan"), None)], "c int, x double")
     assert sorted((r["bin"], r["n"]) for r in reporting.plot_histogram(xs, ["c"], "x", 0, 10, 10).collect()) == [(0, 3), (9, 2)]
 
