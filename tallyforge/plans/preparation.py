@@ -548,7 +548,7 @@ def stitching_hist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @_query(f"""with {J}, c as (select campaign, count(*) as n, round(avg(cast(pt as double)) / 1000, 3) as mean_pt from j group by campaign)
-select campaign, case when n >= 1000 then regexp_replace(printf('%.3f', n / 1000), '\.?0+$', '') || 'k' else cast(n as varchar) end as caption,
+select campaign, case when n >= 1000 then regexp_replace(printf('%.3f', n / 1000), '\\.?0+$', '') || 'k' else cast(n as varchar) end as caption,
 regexp_replace('pt_' || campaign, '[^A-Za-z0-9]+', '_', 'g') as suffix, mean_pt from c""")
 def plot_captions(spark: SparkSession, sf: str) -> DataFrame:
     counts = _jets(spark, sf, "campaign", "pt").groupBy("campaign").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("pt").cast("double")).alias("pt"))
