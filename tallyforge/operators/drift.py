@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyforge.session import spread
+
 #: Columns of the reference table by nesting, with their type as it is written.
 TOP = {
     "pt": "decimal",
@@ -140,7 +142,7 @@ def records(dumps: DataFrame) -> DataFrame:
     Read in Python: Spark's functions for JSON of unknown fields (variant) took seven times as long here.
     """
     whose = [F.col("producer"), F.col("seq_no").cast("int"), F.col("dump_id").cast("bigint")]
-    return dumps.select(*whose, "payload").mapInArrow(_parse, RECORD_SCHEMA)
+    return spread(dumps.select(*whose, "payload")).mapInArrow(_parse, RECORD_SCHEMA)
 
 
 def _reference(jets: DataFrame) -> DataFrame:
@@ -291,7 +293,7 @@ def _parse_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _schemas(dumps: DataFrame, columns: DataFrame) -> DataFrame:
     """Per dump that holds records: producer, seq_no, dump_id and its fields (``now``) as (name, kind, quantity), by name."""
     whose = [F.col("producer"), F.col("seq_no").cast("int"), F.col("dump_id").cast("bigint")]
-    each = dumps.select(*whose, "payload").mapInArrow(_parse_schemas, SCHEMA_SCHEMA)
+    each = spread(dumps.select(*whose, "payload")).mapInArrow(_parse_schemas, SCHEMA_SCHEMA)
     named = each.select("producer", "seq_no", "dump_id", F.inline_outer("fields"))
     carried = columns.select(F.col("producer").alias("__p"), F.col("name").alias("__n"), "quantity")
     same = F.col("producer").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n"))
