@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.commit_parts import pieces
 from tallyforge.llm.residue_rules import label
-from tallyforge.session import cut_lineage
+from tallyforge.session import cut_lineage, spread
 
 #: Words of a shingle, and the least share of common shingles of near-duplicates.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -86,7 +86,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The pieces of every document: ``key``, part, piece_id (of the text), label, signature and shingles."""
     kind = docs.schema[key].dataType.simpleString()
-    made = docs.select(docs[key].alias("__key"), docs[text].alias("__text")).mapInArrow(
+    made = spread(docs.select(docs[key].alias("__key"), docs[text].alias("__text"))).mapInArrow(
         _signed, f"__key {kind}, part string, piece_id bigint, label string, signature bigint, shingles array<int>"
     )
     return made.withColumnRenamed("__key", key)

@@ -18,6 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.session import spread
+
 #: Folder of the public vocabularies.
 VOCABULARIES = "/opt/tokenizers"
 
@@ -148,5 +150,5 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
             yield pa.RecordBatch.from_arrays([batch.column("__key"), made], names=["__key", "__made"])
 
     kind = docs.schema[key].dataType.simpleString()
-    made = docs.select(docs[key].alias("__key"), docs[text].alias("__text")).mapInArrow(run, f"__key {kind}, __made {'int' if counts_only else 'array<int>'}")
+    made = spread(docs.select(docs[key].alias("__key"), docs[text].alias("__text"))).mapInArrow(run, f"__key {kind}, __made {'int' if counts_only else 'array<int>'}")
     return made.toDF(key, "n_tokens" if counts_only else "ids")
