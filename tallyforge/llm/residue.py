@@ -1,9 +1,9 @@
 """Template residue and error-page text (problem 8).
 
 Every document is taken apart into the pieces that may hold something else than content. Trusted labels come from
-``residue_rules``. Near-duplicates of labelled pieces are found with partitioned SimHash tables, verified by Hamming
-distance and by the similarity of their word shingles, and the labels are passed on along these links, piece by
-piece, until a whole connected component has them. A document with a labelled piece is residue, and so are its copies.
+``residue_rules``. Near-duplicates of labelled pieces are found with partitioned SimHash tables and with an exact join
+on prefixes of their sets of word shingles, verified by the similarity of these sets, and the labels are passed on
+along these links, set by set, until a whole connected component has them. A document with a labelled piece is residue, and so are its copies.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.commit_parts import pieces
@@ -23,7 +23,7 @@ from tallyforge.session import cut_lineage, spread
 
 #: Words of a shingle, and the least share of common shingles of near-duplicates.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
-#: Most bits in which signatures of near-duplicates differ. 64 bits are cut into five blocks; two of them are then equal.
+#: Most bits in which signatures from the SimHash tables differ. 64 bits are cut into five blocks; two of them are then equal.
 HAMMING = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: A worker keeps the labels of this many pieces.
@@ -65,7 +65,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known[piece] = label(piece)
                 found = known[piece]
                 # Fewer words than a shingle: equal texts only, and those have equal labels.
-                if found is None and piece.count(" ") + piece.count("\n") + 1 < SHINGLE_WORDS:
+                if found is None and len(piece.split()) < SHINGLE_WORDS:
                     continue
                 hashes = shingles(piece)
                 source.append(row)
@@ -99,35 +99,63 @@ def _tables(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "signature", F.explode(F.array(*slots)).alias("slot"))
 
 
+def _set() -> Column:
+    """The shingles as a set in an order that all pieces share."""
+    return F.sort_array(F.array_distinct("shingles"))
+
+
+def _prefixes(rows: DataFrame, *keep: str) -> DataFrame:
+    """Each row once per shingle of its set's prefix, with the set's ``size``.
+
+    Sets of similarity s share at least s * size of either, so all but so many less one of the first shingles of each
+    hold a common one: pairs that are alike always meet.
+    """
+    of = rows.select(*keep, _set().alias("set")).withColumn("size", F.size("set"))
+    needed = F.ceil(SIMILARITY * F.col("size") - 1e-9).cast("int")
+    return of.select(*(c for c in of.columns if c != "set"), F.explode(F.slice("set", 1, F.col("size") - needed + 1)).alias("shingle"))
+
+
 def near_labelled(known: DataFrame, others: DataFrame) -> DataFrame:
-    """piece_id and label of the ``others`` that are near-duplicates of ``known`` (both: piece_id, signature, shingles; known: label)."""
+    """piece_id and label of the ``others`` that are near-duplicates of ``known`` (both: piece_id, signature, shingles; known: label).
+
+    The SimHash tables give the pairs within HAMMING bits, the prefixes every pair of at least SIMILARITY.
+    """
     a = _tables(known, F.col("piece_id").alias("known_id")).withColumnRenamed("signature", "known_signature")
     b = _tables(others, "piece_id")
     close = F.bit_count(F.col("signature").bitwiseXOR(F.col("known_signature"))) <= HAMMING
-    pairs = b.join(a, "slot").where(close).select("piece_id", "known_id").distinct()
+    signs = b.join(a, "slot").where(close).select("piece_id", "known_id")
+    c = _prefixes(known, F.col("piece_id").alias("known_id")).withColumnRenamed("size", "known_size")
+    fits = F.least("size", "known_size") >= SIMILARITY * F.greatest("size", "known_size") - 1e-9
+    prefixes = _prefixes(others, "piece_id").join(c, "shingle").where(fits).select("piece_id", "known_id")
+    pairs = signs.unionByName(prefixes).distinct()
     x = known.select(F.col("piece_id").alias("known_id"), "label", F.col("shingles").alias("known_shingles"))
     y = others.select("piece_id", "shingles")
-    alike = F.size(F.array_intersect("shingles", "known_shingles")) >= SIMILARITY * F.size(F.array_union("shingles", "known_shingles"))
+    alike = F.size(F.array_intersect("shingles", "known_shingles")) >= SIMILARITY * F.size(F.array_union("shingles", "known_shingles")) - 1e-9
     return pairs.join(x, "known_id").join(y, "piece_id").where(alike).groupBy("piece_id").agg(F.min("label").alias("label"))
 
 
 def labelled_pieces(signed: DataFrame) -> DataFrame:
     """piece_id and label of every piece in a component with a trusted label; ``signed``: stored rows of ``signed_pieces``.
 
-    Labels move one link at a time from the pieces that got one last; each round is checkpointed, so that neither
+    Pieces of equal shingle sets are one node, so that many of them make no pairs; a piece's own label wins over its set's.
+    Labels move one link at a time from the sets that got one last; each round is checkpointed, so that neither
     plans nor lost executors bring rounds back. It ends with the first round that reaches nothing new.
     """
-    one = signed.groupBy("piece_id").agg(F.min("label").alias("label"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
+    rows = signed.withColumn("set_id", F.xxhash64(_set()))
+    one = rows.groupBy(F.col("set_id").alias("piece_id")).agg(F.min("label").alias("label"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
     nodes = cut_lineage(one)
     last, others = nodes.where("label is not null"), nodes.where("label is null").drop("label")
     reached = last.select("piece_id", "label")
     while True:
         new = cut_lineage(near_labelled(last, others))
         if new.isEmpty():
-            return reached
+            break
         reached = reached.unionByName(new)
         last = others.join(new, "piece_id")
         others = others.join(new, "piece_id", "left_anti")
+    of_set = reached.select(F.col("piece_id").alias("set_id"), F.col("label").alias("set_label"))
+    own = F.coalesce(F.min("label"), F.min("set_label"))
+    return rows.select("piece_id", "set_id", "label").join(of_set, "set_id").groupBy("piece_id").agg(own.alias("label"))
 
 
 def residue(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,7 +163,7 @@ def residue(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     Null, empty and blank texts hold none. Whole texts are judged, of any length; rows that repeat a key count
     together; other columns are left out; an empty table gives no rows. A null key is a document of its own.
-    Links between texts whose signatures differ in more than HAMMING bits are not seen.
+    Every link between pieces of at least SHINGLE_WORDS words whose shingle sets are alike by SIMILARITY is followed.
     """
     signed = cut_lineage(signed_pieces(docs, key, text))
     marked = labelled_pieces(signed)

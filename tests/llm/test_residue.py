@@ -112,3 +112,29 @@ def test_signatures_are_majorities():
     hashes = np.array([0b011, 0b001, 0b101, 0b110], np.uint64)
     assert residue.signatures(hashes, np.array([0, 3])).tolist() == [0b001, 0b110]
     assert residue.signatures(np.array([], np.uint64), np.array([], np.int64)).tolist() == []
+
+
+@pytest.mark.parametrize("share", [0.8, 0.85, 0.9, 0.95])
+def test_every_pair_of_enough_similarity_is_linked(spark, share):
+    """Pairs whose signatures may differ in many bits; less similar ones get no label."""
+    rng = np.random.default_rng(int(share * 100))
+    rows, want = [], set()
+    for pair in range(60):
+        size = int(rng.choice([20, 100, 300]))
+        common, fewer = int(size * share), pair % 3 == 0
+        shingles = [int(x) for x in rng.choice(1 << 31, size, replace=False)]
+        base, near = shingles, shingles[: common - 1 if fewer and share == 0.8 else common]
+        for i, (s, label) in enumerate([(base, "error"), (near, None)]):
+            hashes = np.array(s, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            rows.append((pair * 2 + i, label, int(residue.signatures(hashes, np.array([0])).view(np.int64)[0]), s))
+        if len(near) >= 0.8 * size:
+            want.add(pair * 2 + 1)
+    signed = spark.createDataFrame(rows, "piece_id bigint, label string, signature bigint, shingles array<int>")
+    found = {r["piece_id"] for r in residue.labelled_pieces(signed).collect()}
+    assert found == want | set(range(0, 120, 2))
+
+
+def test_pieces_of_tabbed_words_are_compared(spark):
+    copy = "the\tserver\tof\tkalin\tgave\tone\tmore\tpage"
+    docs = documents(spark, [copy])
+    assert residue.signed_pieces(docs.select("doc_id", "text")).count() == 1
