@@ -94,10 +94,34 @@ _TAG = re.compile(r"<title>[^<]*</title>|</?[a-z][^<>]*>", re.IGNORECASE)
 _FATAL = re.compile(r"^(?:fatal|error|panic): (.*) \(code \d+\)$")
 _STATUS = re.compile(r"^(?:error:? )?[45]\d\d\b[ :.-]*")
 _LOADING = re.compile(r"^loading\s*(?:\.\.\.|…)\s*")
+_PICKED = re.compile(r"\(cherry picked from commit [0-9a-f]+\)$")
+
+
+def _backwards(*words: str) -> str:
+    return "|".join(w[::-1] for w in words)
+
+
+_ITEM = f"(?:{_backwards('home', 'reload', 'help', 'sign in', 'log in', 'back', 'contact', 'about', 'search')})"
+#: A tail read from its end: so a text of any length is read once, however many tails or beginnings of one it has.
 _TAIL = re.compile(
-    r"[\s.]*(?:incident [0-9a-f]+, node [\w.-]+|(?:(?:home|reload|help|sign in|log in|back|contact|about|search)(?: \| |$)){2,}|reference:? [0-9a-f]+|go back to the start page or contact the operator)\.?$"
+    rf"(?:\.?[\w.-]+ {_backwards('node')} ,[0-9a-f]+ {_backwards('incident')}|(?:\.? \| )?{_ITEM}(?: \| {_ITEM})+|\.?[0-9a-f]+ :?{_backwards('reference')}"
+    rf"|\.?{_backwards('go back to the start page or contact the operator')})[\s.]*"
 )
-_PICKED = re.compile(r"\s*\(cherry picked from commit [0-9a-f]+\)\s*$")
+
+
+def _without_tails(s: str) -> str:
+    """``s`` without the tails of a page, unless it is nothing else; ``s``: stripped, white space collapsed."""
+    back, at = s[::-1], 0
+    while (m := _TAIL.match(back, at)) and m.end() < len(back):
+        at = m.end()
+    return s[: len(s) - at]
+
+
+def _once(s: str) -> str:
+    """``s``, or what it repeats; ``s``: stripped, white space collapsed."""
+    t = s + " "
+    at = (t + t).find(t, 1)
+    return s[: at - 1] if len(s) > 8 and at < len(t) else s
 
 
 def core(piece: str) -> tuple[str, bool]:
@@ -106,27 +130,19 @@ def core(piece: str) -> tuple[str, bool]:
     if s.startswith("{") and s.endswith("}"):
         try:
             got = json.loads(s)
-        except ValueError:
+        except (ValueError, RecursionError):
             got = None
         if isinstance(got, dict) and isinstance(got.get("message"), str) and {"status", "error", "code"} & set(got):
             s, dressed = got["message"], True
-    s = _SPACE.sub(" ", _TAG.sub(" ", s)).strip().lower()
+    # The same sentence twice or more is that sentence, with its dress or without.
+    s = _once(_SPACE.sub(" ", _TAG.sub(" ", s)).strip().lower())
     if m := _FATAL.match(s):
         s = m[1]
     s = _LOADING.sub("", s)
-    while True:
-        cut = _TAIL.sub("", s).strip()
-        if cut == s or not cut:
-            break
-        s = cut
-    s = _STATUS.sub("", s).strip(" .!")
-    # The same sentence twice or more is that sentence.
+    s = _once(_STATUS.sub("", _without_tails(s)).strip(" .!"))
     parts = [p for p in re.split(r"(?<=\.) ", s) if p.strip(" .")]
     if len(parts) > 1 and len({p.strip(" .") for p in parts}) == 1:
         s = parts[0].strip(" .")
-    half = len(s) // 2
-    if len(s) > 8 and len(s) % 2 and s[:half] == s[half + 1 :] and s[half] == " ":
-        s = s[:half]
     return s, dressed
 
 
@@ -164,7 +180,8 @@ def is_filler(s: str) -> bool:
     if len(sentences) == 1 and next(iter(sentences)) in _FILLERS:
         return True
     words = s.split()
-    if len(words) >= 4 and len(set(words)) <= 2 and all(words[i] == words[i % len(set(words))] for i in range(len(words))):
+    kinds = len(set(words))
+    if len(words) >= 4 and kinds <= 2 and all(words[i] == words[i % kinds] for i in range(len(words))):
         return True
     bare = _WORD.findall(s)
     if len(bare) < 4 or len(bare) < 0.8 * len(words):
@@ -178,16 +195,16 @@ def label(piece: str | None) -> str | None:
     """placeholder, filler, error or notice if the piece is that as a whole; else None, as for null and blank pieces."""
     if not piece or not piece.strip():
         return None
-    piece = _PICKED.sub("", piece)
+    stripped = piece.rstrip()
+    if m := _PICKED.search(stripped):
+        piece = stripped[: m.start()].rstrip()
     # One line or several: a template may have a slot on every line.
     lines = [x for x in piece.split("\n") if x.strip()]
-    if len(lines) <= 40 and lines and all(map(is_placeholder, lines)):
+    if lines and all(map(is_placeholder, lines)):
         return "placeholder"
     flat = _SPACE.sub(" ", piece).strip().lower()
     if is_filler(flat):
         return "filler"
-    if len(flat) > 2_000:
-        return None  # no single dressed sentence
     s, dressed = core(piece)
     if is_notice(s):
         return "notice"

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -138,3 +140,23 @@ def test_pieces_of_tabbed_words_are_compared(spark):
     copy = "the\tserver\tof\tkalin\tgave\tone\tmore\tpage"
     docs = documents(spark, [copy])
     assert residue.signed_pieces(docs.select("doc_id", "text")).count() == 1
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ('{"status": 503, "message": "The mirror hit a rate limit", "trace": "' + "at kalin.horen(); " * 500 + '"}', "error"), ("Page not found\n" * 301, "error"), ("404 Page not found. " * 300, "error"),
+    ("Please enable JavaScript to view this page.\n" * 100, "notice"), ('<html><body class="' + "wide " * 1000 + '"><h1>Bad gateway</h1></body></html>', "error"), ("<div>" * 2000 + "Forbidden" + "</div>" * 2000, "error"),
+    ("Too many requests\n" + "Home | " * 1000 + "Help", "error"), ("Access denied" + " Reference 0a1." * 500, "error"), ("[{{title}}]\n" * 60, "placeholder"),
+    ("Fix it. " * 1000 + "Page not found", None), ("[{{title}}]\n" * 60 + "Read the edges from bel", None), ("Fix the page not found text\n" * 200, None),
+])
+def test_long_pieces_are_judged_like_short_ones(text, want):
+    assert label(text) == want
+
+
+@pytest.mark.parametrize("text", [
+    "x" + "." * 300_000 + "x", "home | " * 100_000 + "x", "incident 0a1, node " * 30_000 + "!", "x" + " reference 0a1" * 50_000, "x" + " \n" * 200_000 + "x", '{"status":' + "[" * 200_000 + "}", "<a " * 100_000, "ab " * 100_000 + "c",
+    "{{" * 100_000, "loading " * 50_000 + "x", "x (code 1" * 50_000, "__a" * 100_000,
+])
+def test_long_pieces_take_time_in_proportion(text):
+    at = time.process_time()
+    label(text)
+    assert time.process_time() - at < 2
