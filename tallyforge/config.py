@@ -56,6 +56,7 @@ class Preparation:
     rows_per_file: int | None
     nested_cuts: Mapping[str, Cuts]
     renames: Mapping[str, str]
+    ints: Mapping[str, Mapping[int, int]] = field(default_factory=dict)
 
     @property
     def labels(self) -> dict[str, int]:
@@ -89,10 +90,24 @@ def _quota(block: Mapping, split: str) -> int:
     return int(block.get(f"num_jets_{split}", -1 if train == -1 else train // 10))
 
 
+def _check_supported(config: Mapping) -> None:
+    """Raises on keys whose work no stage does, so that none is passed over in silence."""
+    block = config.get("resampling") or {}
+    wanted = {
+        "reweighting": config.get("reweighting") or block.get("reweighting"),
+        "resume": config.get("resume"),
+        "sampling_fraction": block.get("sampling_fraction") not in (None, "auto", 1),
+        "equal_jets": any(s.get("equal_jets") and not isinstance(s["pattern"], str) and len(s["pattern"]) > 1 for s in config["samples"]),
+    }
+    if keys := [k for k, v in wanted.items() if v]:
+        raise NotImplementedError(f"no stage does the work of {keys}")
+
+
 def parse(config: Mapping, split: str = "train") -> Preparation:
     """Checked objects for one split. Regions, resampling and the selection of variables do not apply to the test split."""
     if split not in SPLITS:
         raise ValueError(f"unknown split {split!r}")
+    _check_supported(config)
     test = split == "test"
     flavours = {f["name"]: Cuts.of(f["cuts"]) for f in config["flavours"]}
     samples = {s["name"]: tuple([s["pattern"]] if isinstance(s["pattern"], str) else s["pattern"]) for s in config["samples"]}
@@ -121,7 +136,8 @@ def parse(config: Mapping, split: str = "train") -> Preparation:
         _check_ratios(components)
     variables = {g: tuple(dict.fromkeys([*v.get("inputs", ()), *v.get("labels", ()), *(bins if g == "jets" else ()), *(() if g == "jets" else ("valid",))])) for g, v in config["variables"].items()}
     nested = {g: Cuts.of(v["selection"]) for g, v in config["variables"].items() if v.get("selection")}
-    return Preparation(split, samples, flavours, tuple(components), resampling, variables, test, config.get("num_jets_per_output_file"), nested, (config.get("transform") or {}).get("variable_map", {}))
+    transform = config.get("transform") or {}
+    return Preparation(split, samples, flavours, tuple(components), resampling, variables, test, config.get("num_jets_per_output_file"), nested, transform.get("variable_map") or {}, transform.get("ints_map") or {})
 
 
 def _check_targets(components: list[Component], target: str | None) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyforge.config import Component, Preparation, parse
 from tallyforge.operators import histograms, interpolation, merging, normalisation, quality, reporting, resampling, splitting
 from tallyforge.operators.histograms import axes
-from tallyforge.sources.tables import project, read_sample
+from tallyforge.sources.tables import project, read_sample, with_ints
 
 STAGES = ("check", "histograms", "resample", "merge", "normalise", "report")
 #: Columns that only choose the split; histograms are made without cuts on them.
@@ -40,7 +40,7 @@ class Pipeline:
                 getattr(self, stage)()
 
     def sample(self, name: str) -> DataFrame:
-        return read_sample(self.spark, self.prep.samples[name], self.prep.renames)
+        return with_ints(read_sample(self.spark, self.prep.samples[name], self.prep.renames), self.prep.ints)
 
     def routed(self, ignore: Sequence[str] = ()) -> DataFrame:
         """All samples, every row once per component that it belongs to: one scan per sample, whatever the components."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,25 @@ def remap_ints(col: Column, to: Mapping[int, int]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in to.items() for x in p]), col), col)
 
 
+def _with_ints(kinds: Mapping[str, T.DataType], maps: Mapping[str, Mapping[int, int]]) -> Callable[[Column], Column]:
+    def element(e: Column) -> Column:
+        return F.when(e.isNotNull(), F.struct(*[(remap_ints(e[n], maps[n]).cast(t) if n in maps else e[n]).alias(n) for n, t in kinds.items()]))
+
+    return element
+
+
+def with_ints(df: DataFrame, maps: Mapping[str, Mapping[int, int]]) -> DataFrame:
+    """Remaps the columns and the fields of nested tables that have a map in ``maps``; types stay, unknown names raise."""
+    known = datasets(df)
+    if unknown := set(maps) - {n for names in known.values() for n in names}:
+        raise ValueError(f"no variables {sorted(unknown)} to remap")
+    kinds = dict(df.dtypes)
+    out = {v: remap_ints(F.col(v), maps[v]).cast(kinds[v]) for v in known["jets"] if v in maps}
+    for array in (g for g in known if g != "jets" and set(known[g]) & set(maps)):
+        out[array] = F.transform(array, _with_ints({f.name: f.dataType for f in df.schema[array].dataType.elementType}, maps))
+    return df.withColumns(out) if out else df
+
+
 def datasets(df: DataFrame) -> dict[str, list[str]]:
     """Names of the variables by table: the plain columns ("jets"), and the fields of every array of structs."""
     out: dict[str, list[str]] = {"jets": []}

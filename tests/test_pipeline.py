@@ -159,3 +159,27 @@ def test_streaming(spark, tmp_path):
     want, got = normalisation.moments(df, "jets", ["x"]).first(), moments.moments(spark, out).first()
     assert (got["n"], got["mean"], got["std"]) == (100, pytest.approx(want["mean"]), pytest.approx(want["std"]))
     assert {r["label"]: r["n"] for r in moments.class_weights(spark, out).collect()} == {0: 34, 1: 33, 2: 33}
+
+
+def test_ints_are_remapped_in_columns_and_nested_tables(spark, config, tmp_path):
+    config["transform"] = {"ints_map": {"hadronconeexcltruthlabelid": {4: 5, 5: 4}, "leptonid": {-11: 11, -13: 13}}}
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    stored, read = spark.read.parquet(config["samples"][0]["pattern"]), run.sample("all")
+    assert read.dtypes == stored.dtypes
+    got = {r["jet_id"]: r for r in read.select("jet_id", "hadronconeexcltruthlabelid", "tracks").collect()}
+    for r in stored.select("jet_id", "hadronconeexcltruthlabelid", "tracks").collect():
+        new = got[r["jet_id"]]
+        old = r["hadronconeexcltruthlabelid"]
+        assert new["hadronconeexcltruthlabelid"] == {4: 5, 5: 4}.get(old, old)
+        assert [t["leptonid"] for t in new["tracks"]] == [{-11: 11, -13: 13}.get(t["leptonid"], t["leptonid"]) for t in r["tracks"]]
+        assert [t["d0"] for t in new["tracks"]] == [t["d0"] for t in r["tracks"]]
+    config["transform"] = {"ints_map": {"none": {1: 2}}}
+    with pytest.raises(ValueError):
+        Pipeline(spark, config, str(tmp_path / "out")).sample("all")
+
+
+def test_no_key_is_passed_over_in_silence():
+    for change in ({"reweighting": {"num_jets_estimate": 1}}, {"resume": True}, {"resampling": CONFIG["resampling"] | {"sampling_fraction": 0.5}}, {"samples": [{"name": "all", "pattern": ["a", "b"], "equal_jets": True}]}):
+        with pytest.raises(NotImplementedError):
+            parse(copy.deepcopy(CONFIG) | change)
+    parse(copy.deepcopy(CONFIG) | {"samples": [{"name": "all", "pattern": ["a", "b"], "equal_jets": False}]})
