@@ -1,9 +1,11 @@
 """Template residue and error-page text (problem 8).
 
 Every document is taken apart into the pieces that may hold something else than content. Trusted labels come from
-``residue_rules``. Near-duplicates of labelled pieces are found with partitioned SimHash tables and with an exact join
-on prefixes of their sets of word shingles, verified by the similarity of these sets, and the labels are passed on
-along these links, set by set, until a whole connected component has them. A document with a labelled piece is residue, and so are its copies.
+the form of a piece (``residue_rules``), never from its sentence. Near-duplicates of labelled sentences are found with
+partitioned SimHash tables and with an exact join on prefixes of their sets of word shingles, verified by the
+similarity of these sets, and the labels are passed on along these links, set by set, until a whole connected
+component has them. Sentences too short for shingles are also alike if they are spliced of labelled ones. A document
+with a labelled piece is residue, and so are its copies.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.commit_parts import pieces
-from tallyforge.llm.residue_rules import label
+from tallyforge.llm.residue_rules import judge
 from tallyforge.session import cut_lineage, spread
 
 #: Words of a shingle, and the least share of common shingles of near-duplicates.
@@ -26,6 +28,12 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Most bits in which signatures from the SimHash tables differ. 64 bits are cut into five blocks; two of them are then equal.
 HAMMING = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Least share of a sentence's pieces whose form must tell the label, for the sentence to have it.
+TRUSTED = 0.05
+#: Labelled sets that are tried first for each shingle.
+SOME = 8
+#: Least words of a sentence that may be spliced of two labelled ones.
+SPLICED_WORDS = 4
 #: A worker keeps the labels of this many pieces.
 CACHE_PIECES = 200_000
 #: Bits are counted for this many shingles at a time.
@@ -53,41 +61,47 @@ def signatures(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return ((votes > 0).astype(np.uint64) << place).sum(axis=1, dtype=np.uint64)
 
 
+def _int32(hashes: np.ndarray) -> pa.Array:
+    return pa.array((hashes >> np.uint64(32)).astype(np.uint32).view(np.int32))
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, str | None] = {}
+    known: dict[str, tuple[str | None, str, bool]] = {}
+    digest = xxhash.xxh64_intdigest
     for batch in batches:
-        source, parts, ids, labels, runs, flat = [], [], [], [], [], []
+        source, parts, labels, runs, flat, word_ends, words = [], [], [], [], [], [0], []
         for row, text in enumerate(batch.column("__text").to_pylist()):
             for part, piece in pieces(text):
                 if piece not in known:
                     if len(known) >= CACHE_PIECES:
                         known.clear()
-                    known[piece] = label(piece)
-                found = known[piece]
-                # Fewer words than a shingle: equal texts only, and those have equal labels.
-                if found is None and len(piece.split()) < SHINGLE_WORDS:
-                    continue
-                hashes = shingles(piece)
+                    known[piece] = judge(piece)
+                found, sentence, alone = known[piece]
                 source.append(row)
                 parts.append(part)
-                ids.append(xxhash.xxh64_intdigest(" ".join(piece.lower().split())) - (1 << 63))
                 labels.append(found)
                 runs.append(len(flat))
-                flat.extend(hashes)
+                flat.extend([digest(f"\0{sentence}")] if alone else shingles(sentence))
+                words.extend([] if alone else map(digest, sentence.split()))
+                word_ends.append(len(words))
         hashed = np.array(flat, np.uint64)
         signs = signatures(hashed, np.array(runs, np.int64)) if runs else np.array([], np.uint64)
-        sets = pa.ListArray.from_arrays(pa.array([*runs, len(flat)], pa.int32()), pa.array((hashed >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+        sets = pa.ListArray.from_arrays(pa.array([*runs, len(flat)], pa.int32()), _int32(hashed))
+        spoken = pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), _int32(np.array(words, np.uint64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("__key").take(pa.array(source, pa.int32())), pa.array(parts, pa.string()), pa.array(ids, pa.int64()), pa.array(labels, pa.string()), pa.array(signs.view(np.int64)), sets],
-            names=["__key", "part", "piece_id", "label", "signature", "shingles"],
+            [batch.column("__key").take(pa.array(source, pa.int32())), pa.array(parts, pa.string()), pa.array(labels, pa.string()), pa.array(signs.view(np.int64)), sets, spoken],
+            names=["__key", "part", "label", "signature", "shingles", "words"],
         )
 
 
 def signed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The pieces of every document: ``key``, part, piece_id (of the text), label, signature and shingles."""
+    """The pieces of every document: ``key``, part, label (what the piece's form tells), and of its sentence signature, shingles and words.
+
+    shingles and words are hashes. A piece that only equal texts are copies of has one shingle of its own and no words.
+    """
     kind = docs.schema[key].dataType.simpleString()
     made = spread(docs.select(docs[key].alias("__key"), docs[text].alias("__text"))).mapInArrow(
-        _signed, f"__key {kind}, part string, piece_id bigint, label string, signature bigint, shingles array<int>"
+        _signed, f"__key {kind}, part string, label string, signature bigint, shingles array<int>, words array<int>"
     )
     return made.withColumnRenamed("__key", key)
 
@@ -116,63 +130,113 @@ def _prefixes(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 def near_labelled(known: DataFrame, others: DataFrame) -> DataFrame:
-    """piece_id and label of the ``others`` that are near-duplicates of ``known`` (both: piece_id, signature, shingles; known: label).
+    """set_id and label of the ``others`` that are near-duplicates of ``known`` (both: set_id, signature, shingles; known: label).
 
     The SimHash tables give the pairs within HAMMING bits, the prefixes every pair of at least SIMILARITY.
     """
-    a = _tables(known, F.col("piece_id").alias("known_id")).withColumnRenamed("signature", "known_signature")
-    b = _tables(others, "piece_id")
+    a = _tables(known, F.col("set_id").alias("known_id")).withColumnRenamed("signature", "known_signature")
+    b = _tables(others, "set_id")
     close = F.bit_count(F.col("signature").bitwiseXOR(F.col("known_signature"))) <= HAMMING
-    signs = b.join(a, "slot").where(close).select("piece_id", "known_id")
-    c = _prefixes(known, F.col("piece_id").alias("known_id")).withColumnRenamed("size", "known_size")
+    signs = b.join(a, "slot").where(close).select("set_id", "known_id")
+    c = _prefixes(known, F.col("set_id").alias("known_id")).withColumnRenamed("size", "known_size")
+    return _verified(signs, c, known, others)
+
+
+def _near_some(known: DataFrame, others: DataFrame) -> DataFrame:
+    """As ``near_labelled``, with at most SOME of the sets of ``known`` for each shingle: one set that is alike is enough for a label.
+
+    Where many sets share a shingle, this leaves few of ``others`` to compare with all of them.
+    """
+    c = _prefixes(known, F.col("set_id").alias("known_id")).withColumnRenamed("size", "known_size")
+    few = c.groupBy("shingle", F.pmod(F.xxhash64("known_id"), F.lit(SOME)).alias("k")).agg(F.min(F.struct("known_id", "known_size")).alias("s"))
+    none = known.select(F.col("set_id"), F.col("set_id").alias("known_id")).limit(0)
+    return _verified(none, few.select("shingle", "s.known_id", "s.known_size"), known, others)
+
+
+def _verified(pairs: DataFrame, prefixes: DataFrame, known: DataFrame, others: DataFrame) -> DataFrame:
+    """set_id and label of ``others`` in a pair, or sharing a shingle of ``prefixes``, that are alike in truth."""
     fits = F.least("size", "known_size") >= SIMILARITY * F.greatest("size", "known_size") - 1e-9
-    prefixes = _prefixes(others, "piece_id").join(c, "shingle").where(fits).select("piece_id", "known_id")
-    pairs = signs.unionByName(prefixes).distinct()
-    x = known.select(F.col("piece_id").alias("known_id"), "label", F.col("shingles").alias("known_shingles"))
-    y = others.select("piece_id", "shingles")
+    met = _prefixes(others, "set_id").join(prefixes, "shingle").where(fits).select("set_id", "known_id")
+    x = known.select(F.col("set_id").alias("known_id"), "label", F.col("shingles").alias("known_shingles"))
+    y = others.select("set_id", "shingles")
     alike = F.size(F.array_intersect("shingles", "known_shingles")) >= SIMILARITY * F.size(F.array_union("shingles", "known_shingles")) - 1e-9
-    return pairs.join(x, "known_id").join(y, "piece_id").where(alike).groupBy("piece_id").agg(F.min("label").alias("label"))
+    return pairs.unionByName(met).distinct().join(x, "known_id").join(y, "set_id").where(alike).groupBy("set_id").agg(F.min("label").alias("label"))
 
 
-def labelled_pieces(signed: DataFrame) -> DataFrame:
-    """piece_id and label of every piece in a component with a trusted label; ``signed``: stored rows of ``signed_pieces``.
+def _spread_labels(last: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Labels of ``last`` carried along the links of ``others`` until nothing new is reached: all that have one, and the rest.
 
-    Pieces of equal shingle sets are one node, so that many of them make no pairs; a piece's own label wins over its set's.
-    Labels move one link at a time from the sets that got one last; each round is checkpointed, so that neither
-    plans nor lost executors bring rounds back. It ends with the first round that reaches nothing new.
+    Labels move one link at a time from the sets that got one last, so every set is compared as a labelled one once;
+    each round is checkpointed, so that neither plans nor lost executors bring rounds back.
     """
-    rows = signed.withColumn("set_id", F.xxhash64(_set()))
-    one = rows.groupBy(F.col("set_id").alias("piece_id")).agg(F.min("label").alias("label"), F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
-    nodes = cut_lineage(one)
-    last, others = nodes.where("label is not null"), nodes.where("label is null").drop("label")
-    reached = last.select("piece_id", "label")
+    reached = last.select("set_id", "label")
     while True:
-        new = cut_lineage(near_labelled(last, others))
+        some = cut_lineage(_near_some(last, others))
+        rest = others.join(some, "set_id", "left_anti")
+        new = cut_lineage(some.unionByName(near_labelled(last, rest)))
         if new.isEmpty():
-            break
+            return reached, others
         reached = reached.unionByName(new)
-        last = others.join(new, "piece_id")
-        others = others.join(new, "piece_id", "left_anti")
-    of_set = reached.select(F.col("piece_id").alias("set_id"), F.col("label").alias("set_label"))
-    own = F.coalesce(F.min("label"), F.min("set_label"))
-    return rows.select("piece_id", "set_id", "label").join(of_set, "set_id").groupBy("piece_id").agg(own.alias("label"))
+        last = others.join(new, "set_id")
+        others = others.join(new, "set_id", "left_anti")
+
+
+def spliced(known: DataFrame, others: DataFrame) -> DataFrame:
+    """set_id and label of the ``others`` made up of the beginning of one labelled sentence and the end of another.
+
+    So the short messages of a server are alike though their word shingles are not: "the page hit a limit" has the
+    beginning of "the page was moved" and the end of "the host hit a limit". Of at least SPLICED_WORDS words, and of
+    errors and notices alone. First and last words are compared first, so that few sentences are cut at every place.
+    """
+    able = F.size("words") >= 2
+    of = known.where(F.col("label").isin("error", "notice") & able).select("label", "words")
+    open_, close = F.element_at("words", 1), F.element_at("words", -1)
+    ends = others.where(F.size("words") >= SPLICED_WORDS).select("set_id", "words", open_.alias("open"), close.alias("close"))
+    ends = ends.join(of.select(open_.alias("open")).distinct(), "open", "left_semi").join(of.select(close.alias("close")).distinct(), "close", "left_semi")
+    places = F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("at")
+    head, tail = F.xxhash64(F.expr("slice(words, 1, at)")).alias("head"), F.xxhash64(F.expr("slice(words, at + 1, size(words))")).alias("tail")
+    cut = of.select("label", "words", places)
+    heads = cut.select(head).distinct()
+    tails = cut.select(tail, "label").groupBy("tail").agg(F.min("label").alias("label"))
+    tried = ends.select("set_id", "words", places).select("set_id", head, tail)
+    return tried.join(heads, "head", "left_semi").join(tails, "tail").groupBy("set_id").agg(F.min("label").alias("label"))
+
+
+def labelled_sets(signed: DataFrame) -> DataFrame:
+    """set_id and label of every set of shingles that a trusted label reaches; ``signed``: stored rows of ``signed_pieces`` with set_id.
+
+    Pieces of equal shingle sets are one node, so that many of them make no pairs. A set has the label that the form of
+    its pieces tells if that is so for at least TRUSTED of them: a sentence that is mostly used otherwise was only quoted.
+    """
+    told = F.count("label") >= TRUSTED * F.count(F.lit(1))
+    one = signed.groupBy("set_id").agg(
+        F.when(told, F.min("label")).alias("label"), F.first("signature").alias("signature"), F.min("shingles").alias("shingles"), F.min("words").alias("words")
+    )
+    nodes = cut_lineage(one)
+    known, others = nodes.where("label is not null"), nodes.where("label is null").drop("label")
+    reached, others = _spread_labels(known, others)
+    more = cut_lineage(spliced(nodes.drop("label").join(reached, "set_id"), others))
+    if more.isEmpty():
+        return reached
+    also, _ = _spread_labels(others.join(more, "set_id"), others.join(more, "set_id", "left_anti"))
+    return reached.unionByName(also)
 
 
-def residue(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def residue(docs: DataFrame, key: str = "doc_id", text: str = "text", links: bool = True) -> DataFrame:
     """The documents that hold residue: ``key`` and labels (sorted: error, filler, notice, placeholder), each key once.
 
     Null, empty and blank texts hold none. Whole texts are judged, of any length; rows that repeat a key count
     together; other columns are left out; an empty table gives no rows. A null key is a document of its own.
-    Every link between pieces of at least SHINGLE_WORDS words whose shingle sets are alike by SIMILARITY is followed.
+    Every link between pieces whose shingle sets are alike by SIMILARITY is followed; without ``links``, only pieces
+    whose own form tells the label are found.
     """
-    signed = cut_lineage(signed_pieces(docs, key, text))
-    marked = labelled_pieces(signed)
-    return (
-        signed.select(key, "piece_id")
-        .join(marked, "piece_id")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_set("label")).alias("labels"))
-    )
+    signed = signed_pieces(docs, key, text)
+    label = F.col("label")
+    if links:
+        signed = cut_lineage(signed.withColumn("set_id", F.xxhash64(_set())))
+        by_set = labelled_sets(signed).withColumnRenamed("label", "set_label")
+        signed, label = signed.select(key, "set_id", "label").join(by_set, "set_id", "left"), F.coalesce("label", "set_label")
+    return signed.where(label.isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(label)).alias("labels"))
 
 
 def without_residue(docs: DataFrame, marked: DataFrame, key: str = "doc_id") -> DataFrame:

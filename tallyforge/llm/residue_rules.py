@@ -1,13 +1,16 @@
-"""What unfilled templates, filler, error pages and script notices look like: the trusted labels of problem 8.
+"""Which pieces of documents show by their form that they are no content: the trusted labels of problem 8.
 
 A piece of a document (its message or a line of it, its author line, what stands for its diff, or a text without
-any layout) is judged as a whole: a real sentence that mentions such a string is none.
+any layout) is judged as a whole. Trusted are forms, not sentences: unfilled slots, words of filler text, and the
+dress of a page or message that failed (envelope, markup, menu, incident number). The sentence in such a dress is
+cut out, so that its copies in other dress, or in none, can be found as near-duplicates.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from http import HTTPStatus
 
 # --- fixed values -----------------------------------------------------------------------------------------------
 # Names of the slots of commit templates.
@@ -35,35 +38,6 @@ LATIN = (
 )
 # Runs of neighbouring keys.
 KEYS = ("asd", "asdf", "asdfg", "asdfgh", "fdsa", "ghjk", "hjkl", "jkl", "qwer", "qwerty", "qwertz", "sdf", "sdfsdf", "yxcv", "zxcv")
-# Sentences that stand for text to come.
-FILLERS = (
-    "beispieltext, bitte ersetzen", "content coming soon", "content goes here", "insert text here", "platzhaltertext", "sample text", "texte d'exemple à remplacer",
-    "text goes here", "text to be added", "texto de ejemplo", "texto de ejemplo, por favor sustituir", "texto de ejemplo por reemplazar", "this is placeholder text",
-    "this is sample text", "to be added", "to be done", "your text goes here", "your text here",
-)
-# Messages of servers and pages that failed.
-ERRORS = (
-    "acceso denegado", "access denied", "accès refusé", "bad gateway", "bad request", "connection refused", "connection reset", "connection timed out",
-    "der dienst ist zurzeit nicht erreichbar", "erreur interne du serveur", "error interno del servidor", "forbidden", "gateway timeout", "gone",
-    "ihre sitzung ist abgelaufen", "internal server error", "interner serverfehler", "not found", "page introuvable", "page not found", "página no encontrada",
-    "seite nicht gefunden", "service momentanément indisponible", "service temporarily unavailable", "service unavailable", "servicio no disponible por el momento",
-    "something went wrong", "something went wrong on our side", "su sesión ha caducado", "too many requests", "unauthorized", "votre session a expiré",
-    "zu viele anfragen, bitte später erneut versuchen", "zugriff verweigert", "demasiadas solicitudes", "trop de requêtes", "trop de requêtes, réessayez plus tard",
-    "demasiadas solicitudes, inténtelo más tarde", "an unexpected error occurred", "please try again later",
-)
-# What a server, page, request or account is said to do in such a message.
-FAILURES = (
-    "could not be found", "could not be reached", "did not answer in time", "does not exist", "failed with an unknown problem", "gave an unexpected reply",
-    "has been moved or deleted", "has expired", "has expired, please sign in again", "has no permission for this action", "hit a rate limit",
-    "is down for maintenance", "is not available right now", "is temporarily unavailable", "is unavailable for maintenance", "is unavailable", "needs you to sign in first",
-    "refused the connection", "timed out", "timed out, try again later", "took too long to answer", "was blocked by policy", "was not found",
-)
-# Notices in other languages that scripts must run.
-SCRIPT_NOTICES = (
-    "active javascript para ver esta página", "bitte aktivieren sie javascript, um den inhalt zu sehen", "cette vue demande que les scripts soient autorisés",
-    "checking your browser, scripts must be allowed", "esta vista necesita que los scripts estén permitidos", "für diese ansicht müssen skripte erlaubt sein",
-    "veuillez activer javascript pour afficher cette page",
-)
 # --- end of fixed values ----------------------------------------------------------------------------------------
 
 _SLOT = r"(?:(?:pr|change|commit|issue|mr)[._ ]?)?(?:" + "|".join(s.replace("_", "[_ ]?") for s in SLOTS) + ")"
@@ -89,12 +63,26 @@ def is_placeholder(line: str) -> bool:
     return all(w.lower() in _SCAFFOLD for w in _WORD.findall(cut))
 
 
+
 _SPACE = re.compile(r"\s+")
 _TAG = re.compile(r"<title>[^<]*</title>|</?[a-z][^<>]*>", re.IGNORECASE)
+#: Markup around a whole piece, and the label of what is in it.
+_MARKUP = (
+    (re.compile(r"(?:<!doctype[^<>]*>\s*)?<html\b.*</html>", re.IGNORECASE | re.DOTALL), "error"),
+    (re.compile(r"<noscript\b[^<>]*>.*</noscript>", re.IGNORECASE | re.DOTALL), "notice"),
+    (re.compile(r"<(div|p|section|span)\b[^<>]*\bclass=[\"'][^\"'<>]*(?:warn|alert|error|notice)[^<>]*>.*</\1>", re.IGNORECASE | re.DOTALL), "notice"),
+)
+_ENCLOSED = re.compile(r"<[a-z][^<>]*>.*</[a-z][^<>]*>", re.IGNORECASE | re.DOTALL)
 _FATAL = re.compile(r"^(?:fatal|error|panic): (.*) \(code \d+\)$")
 _STATUS = re.compile(r"^(?:error:? )?[45]\d\d\b[ :.-]*")
 _LOADING = re.compile(r"^loading\s*(?:\.\.\.|…)\s*")
 _PICKED = re.compile(r"\(cherry picked from commit [0-9a-f]+\)$")
+#: What tells notices from other messages.
+_SCRIPT = re.compile(r"\b(?:java ?script|js|s[ck]ript\w*)\b")
+#: Times a sentence must stand alone, one after the other, to be filler.
+REPEATS = 3
+#: Phrases of failed requests that every server may send; those of one word are too common.
+PHRASES = frozenset(s.phrase.lower() for s in HTTPStatus if s >= 400 and " " in s.phrase)
 
 
 def _backwards(*words: str) -> str:
@@ -102,11 +90,12 @@ def _backwards(*words: str) -> str:
 
 
 _ITEM = f"(?:{_backwards('home', 'reload', 'help', 'sign in', 'log in', 'back', 'contact', 'about', 'search')})"
+_MENU, _OPERATOR = rf"{_ITEM}(?: \| {_ITEM})+", _backwards("go back to the start page or contact the operator")
 #: A tail read from its end: so a text of any length is read once, however many tails or beginnings of one it has.
 _TAIL = re.compile(
-    rf"(?:\.?[\w.-]+ {_backwards('node')} ,[0-9a-f]+ {_backwards('incident')}|(?:\.? \| )?{_ITEM}(?: \| {_ITEM})+|\.?[0-9a-f]+ :?{_backwards('reference')}"
-    rf"|\.?{_backwards('go back to the start page or contact the operator')})[\s.]*"
+    rf"(?:\.?[\w.-]+ {_backwards('node')} ,[0-9a-f]+ {_backwards('incident')}|(?:\.? \| )?{_MENU}|\.?[0-9a-f]+ :?{_backwards('reference')}|\.?{_OPERATOR})[\s.]*"
 )
+_FURNITURE = re.compile(rf"[\s.]*(?:{_MENU}|{_OPERATOR})")
 
 
 def _without_tails(s: str) -> str:
@@ -117,68 +106,51 @@ def _without_tails(s: str) -> str:
     return s[: len(s) - at]
 
 
-def _once(s: str) -> str:
-    """``s``, or what it repeats; ``s``: stripped, white space collapsed."""
+def _once(s: str) -> tuple[str, int]:
+    """What ``s`` repeats, and how often; ``s``: stripped, white space collapsed."""
+    if not s:
+        return s, 1
     t = s + " "
     at = (t + t).find(t, 1)
-    return s[: at - 1] if len(s) > 8 and at < len(t) else s
+    if at < len(t):
+        return s[: at - 1], len(t) // at
+    parts = [p.strip(" .") for p in re.split(r"(?<=\.) ", s) if p.strip(" .")]
+    return (parts[0], len(parts)) if len(parts) > 1 and len(set(parts)) == 1 else (s, 1)
+
 
+def undress(piece: str) -> tuple[str, str | None]:
+    """The sentence of a piece without the dress of a page or message, in lower case, and the label that the dress tells (or None).
 
-def core(piece: str) -> tuple[str, bool]:
-    """The sentence of a page or message without its dress, and whether its dress is that of an error page."""
-    s, dressed = piece.strip(), False
+    A status number or "Loading..." before a sentence is dress that real messages may have as well: it is cut off, but tells nothing.
+    """
+    s, told = piece.strip(), None
     if s.startswith("{") and s.endswith("}"):
         try:
             got = json.loads(s)
         except (ValueError, RecursionError):
             got = None
         if isinstance(got, dict) and isinstance(got.get("message"), str) and {"status", "error", "code"} & set(got):
-            s, dressed = got["message"], True
+            s, told = got["message"], "error"
+    elif s.startswith("<") and s.endswith(">") and _ENCLOSED.fullmatch(s):
+        told = next((kind for markup, kind in _MARKUP if markup.fullmatch(s)), None)
+        s = _TAG.sub(" ", s)
+    s = _SPACE.sub(" ", s).strip().lower()
+    if _FURNITURE.fullmatch(s[::-1]):
+        return s.strip(" .!"), "error"
     # The same sentence twice or more is that sentence, with its dress or without.
-    s = _once(_SPACE.sub(" ", _TAG.sub(" ", s)).strip().lower())
+    s, first = _once(s)
     if m := _FATAL.match(s):
-        s = m[1]
+        s, told = m[1], told or "error"
     s = _LOADING.sub("", s)
-    s = _once(_STATUS.sub("", _without_tails(s)).strip(" .!"))
-    parts = [p for p in re.split(r"(?<=\.) ", s) if p.strip(" .")]
-    if len(parts) > 1 and len({p.strip(" .") for p in parts}) == 1:
-        s = parts[0].strip(" .")
-    return s, dressed
-
-
-_SCRIPT = r"(?:(?:client-side |browser )?(?:javascript|java script|js|scripts?|scripting))"
-_PURPOSE = r"(?: (?:to|for|in|and|before|so)\b.{0,60})?"
-_AIM = re.compile(r"\b(?:page|site|app|view|viewer|diff|changes|history|content|browser|reload|continue|go on|load|shown?)\b")
-_NOTICE = re.compile(
-    rf"^(?:please )?(?:enable|activate|turn on|switch on|permit|allow|unblock) {_SCRIPT}{_PURPOSE}$"
-    rf"|^we (?:require|need) {_SCRIPT}{_PURPOSE}$"
-    rf"|^(?:this|our) (?:site|page|app|view|viewer)\b.{{0,30}}\b(?:needs?|requires?|works best with) {_SCRIPT}.{{0,80}}$"
-    rf"|^you need {_SCRIPT}(?: turned on| enabled| switched on)?{_PURPOSE}$"
-    rf"|^{_SCRIPT} (?:is|are|must be) (?:required|needed|disabled|allowed|enabled){_PURPOSE}$"
-    rf"|^to (?:go on|continue), .{{0,20}}{_SCRIPT}.{{0,40}}$"
-    rf"|^your browser (?:does not run|has disabled|blocks) {_SCRIPT}.{{0,60}}$"
-    rf"|^checking your browser\b.{{0,60}}$"
-)
-_ERRORS, _NOTICES, _FILLERS = frozenset(ERRORS), frozenset(SCRIPT_NOTICES), frozenset(FILLERS)
-_FAILED = re.compile(r"^(?:the|this|your|our|that) [\w -]{2,40}? (?:" + "|".join(map(re.escape, FAILURES)) + ")$")
-_COULD_NOT = re.compile(r"^(?:we|you|sorry, we) (?:could not load|do not have permission|are not allowed|cannot access|could not find)\b.{0,50}$")
-
-
-def is_error(s: str) -> bool:
-    """``s``: of ``core``."""
-    return s in _ERRORS or bool(_FAILED.match(s) or _COULD_NOT.match(s))
-
-
-def is_notice(s: str) -> bool:
-    """``s``: of ``core``."""
-    return s in _NOTICES or bool(_NOTICE.match(s) and (_AIM.search(s) or len(s.split()) <= 4))
+    whole = len(s)
+    s = _without_tails(s)
+    told = told or ("error" if len(s) < whole else None)
+    s, second = _once(_STATUS.sub("", s).strip(" .!"))
+    return s.strip(" .!"), told or ("filler" if first * second >= REPEATS else None)
 
 
 def is_filler(s: str) -> bool:
     """``s``: lower case, white space collapsed."""
-    sentences = {p.strip(" .!") for p in re.split(r"[.!]\s*", s)} - {""}
-    if len(sentences) == 1 and next(iter(sentences)) in _FILLERS:
-        return True
     words = s.split()
     kinds = len(set(words))
     if len(words) >= 4 and kinds <= 2 and all(words[i] == words[i % kinds] for i in range(len(words))):
@@ -191,23 +163,33 @@ def is_filler(s: str) -> bool:
     return all(w in _KEYS for w in bare)
 
 
-def label(piece: str | None) -> str | None:
-    """placeholder, filler, error or notice if the piece is that as a whole; else None, as for null and blank pieces."""
+def judge(piece: str | None) -> tuple[str | None, str, bool]:
+    """Label (placeholder, filler, error or notice; None if the form tells nothing), the text to compare, and whether only equal texts are its copies.
+
+    Null and blank pieces have no label and no text. A real text with an unfilled slot tacked on is like itself only:
+    a text without the slot would be much like it and yet be content.
+    """
     if not piece or not piece.strip():
-        return None
+        return None, "", True
     stripped = piece.rstrip()
     if m := _PICKED.search(stripped):
         piece = stripped[: m.start()].rstrip()
+    flat = _SPACE.sub(" ", piece).strip().lower()
     # One line or several: a template may have a slot on every line.
     lines = [x for x in piece.split("\n") if x.strip()]
     if lines and all(map(is_placeholder, lines)):
-        return "placeholder"
-    flat = _SPACE.sub(" ", piece).strip().lower()
+        return "placeholder", flat, True
     if is_filler(flat):
-        return "filler"
-    s, dressed = core(piece)
-    if is_notice(s):
-        return "notice"
-    if is_error(s) or dressed:
-        return "error"
-    return None
+        # A sentence that stands there again and again may also stand alone.
+        once, times = _once(flat)
+        return "filler", once.strip(" .!") if times >= REPEATS and once.endswith((".", "!")) and " " in once else flat, False
+    s, told = undress(piece)
+    if not s:
+        return None, flat, False
+    found = told or ("error" if s in PHRASES else None)
+    return ("notice" if found == "error" and _SCRIPT.search(s) else found), s, False
+
+
+def label(piece: str | None) -> str | None:
+    """The label that the piece's form tells, if any."""
+    return judge(piece)[0]

@@ -5,7 +5,7 @@ import pytest
 
 from tallyforge.llm import residue
 from tallyforge.llm.commit_parts import parts, pieces
-from tallyforge.llm.residue_rules import core, is_placeholder, label
+from tallyforge.llm.residue_rules import is_placeholder, judge, label, undress
 
 DIFF = "diff --git a/x.html b/x.html\n--- a/x.html\n+++ b/x.html\n@@ -1,2 +1,2 @@\n-<td>{{ a.title }}</td>\n+<noscript>Please enable JavaScript to view this page</noscript>\n"
 GIT = "commit 687b76f499cf211d8c83a2e733a529bf1986f421\nAuthor: {author}\nDate:   2018-06-18 08:25:37 +0000\n\n    {message}\n\n{diff}"
@@ -34,19 +34,27 @@ def test_real(line):
 
 
 @pytest.mark.parametrize(("text", "want"), [
-    ("Lorem ipsum velit semper. Magnis dolor elit porta.", "filler"), ("bla bla bla bla bla", "filler"), ("foo bar foo bar foo bar", "filler"), ("asdf hjkl qwerty sdfsdf jkl", "filler"), ("Sample text.\nSample text.", "filler"), ("..... ..... ..... ..... .....", "filler"),
-    ("Internal server error.\nIncident 0ca1, node edge-3.ka.invalid", "error"), ("502 Bad gateway", "error"), ("fatal: accès refusé (code 7)", "error"), ('{"status": 503, "message": "The mirror hit a rate limit", "trace": "ab"}', "error"), ('{"status": 500, "message": "Weiß nicht", "trace": "ab"}', "error"),
-    ("<html><head><title>404</title></head><body><h1>Page not found</h1><hr></body></html>", "error"), ("Error 403\n\nACCESO DENEGADO. Go back to the start page or contact the operator.", "error"), ("Too many requests\nToo many requests\nReload | Home | Help", "error"), ("THE  SERVER took too long to answer", "error"),
-    ("<noscript>Turn on JS to view this page</noscript>", "notice"), ("Loading...\nActive JavaScript para ver esta página", "notice"), ("Please enable client-side scripts in order to load the diff. Reference 0a1", "notice"), ("Your browser does not run scripts, so the changes cannot be shown.\n\nHome | Sign in | Help", "notice"),
-    ("We require JS in your browser", "notice"), ("this app works best with scripting enabled; your browser has it disabled", "notice"),
+    ("Lorem ipsum velit semper. Magnis dolor elit porta.", "filler"), ("bla bla bla bla bla", "filler"), ("foo bar foo bar foo bar", "filler"), ("asdf hjkl qwerty sdfsdf jkl", "filler"), ("Some text.\nSome text.\nSome text.", "filler"), ("..... ..... ..... ..... .....", "filler"),
+    ("Nothing of note.\nIncident 0ca1, node edge-3.ka.invalid", "error"), ("502 Bad gateway", "error"), ("fatal: accès refusé (code 7)", "error"), ('{"status": 503, "message": "The host is tired", "trace": "ab"}', "error"), ('{"status": 500, "message": "Weiß nicht", "trace": "ab"}', "error"),
+    ("<html><head><title>404</title></head><body><h1>Nothing here</h1><hr></body></html>", "error"), ("Error 403\n\nNO. Go back to the start page or contact the operator.", "error"), ("Too many visits\nToo many visits\nReload | Home | Help", "error"), ("Home | Sign in | Help", "error"),
+    ("<noscript>Turn on JS to view this page</noscript>", "notice"), ("Please enable client-side scripts in order to load the diff. Reference 0a1", "notice"), ("Your browser runs no scripts.\n\nHome | Sign in | Help", "notice"), ('<div class="warn"><strong>Scripts, please</strong></div>', "notice"),
 ])
-def test_residue(text, want):
+def test_forms_of_residue(text, want):
     assert label(text) == want
     assert label(text + "\n\n(cherry picked from commit 0a1b2c3d)") == want
 
 
-def test_core():
-    assert core("Erreur  interne du serveur\nErreur  interne du serveur\nReload | Home | Help") == ("erreur interne du serveur", False)
+@pytest.mark.parametrize("text", ["The server took too long to answer", "404 The page is gone", "Loading...\nScripts must be allowed", "Loading...", "Error 400", "Fix the edge. Fix the edge.", '{"message": "x"}', "<b>bold</b>", "Reference manual"])
+def test_forms_that_tell_nothing(text):
+    assert label(text) is None
+
+
+def test_undress():
+    assert undress("Erreur  interne du serveur\nErreur  interne du serveur\nReload | Home | Help") == ("erreur interne du serveur", "error")
+    dresses = ["A page is gone", "A  page  is gone!", "404 A page is gone", "Loading... A page is gone", "fatal: a page is gone (code 7)", '{"code": 1, "message": "A page is gone"}', "A PAGE IS GONE. Incident 1a, node x-1.y", "<p>A page is gone</p>", "A page is gone.\nA page is gone.\nReload | Home"]
+    assert {undress(d)[0] for d in dresses} == {"a page is gone"}
+    assert judge("Your text. Your text. Your text.") == ("filler", "your text", False) and judge("wip wip wip wip")[1] == "wip wip wip wip"
+    assert judge(None) == (None, "", True) and judge("Fix the edges {{title}}")[2]
 
 
 @pytest.mark.parametrize("layout", [GIT, MAIL, SVN, FORGE])
@@ -73,7 +81,7 @@ def documents(spark, texts):
 
 def test_table(spark):
     copy = GIT.format(author="A", message="{{title}}", diff=DIFF)
-    texts = [None, "", " \n", copy, copy + "\n(cherry picked from commit 0a1b2c3d)", GIT.format(author="A", message="Fix it", diff=DIFF), "Page not found", "x" * 200_000, "lorem ipsum dolor elit " * 20_000]
+    texts = [None, "", " \n", copy, copy + "\n(cherry picked from commit 0a1b2c3d)", GIT.format(author="A", message="Fix it", diff=DIFF), "Bad gateway", "x" * 200_000, "lorem ipsum dolor elit " * 20_000]
     docs = documents(spark, texts)
     docs = docs.union(docs)
     marked = residue.residue(docs)
@@ -82,32 +90,53 @@ def test_table(spark):
     assert residue.residue(docs.limit(0)).count() == 0
 
 
+def test_links_carry_labels_to_bare_sentences(spark):
+    """Sentences of no list: their dressed copies tell what they are, also to sentences spliced of them."""
+    git = lambda m: GIT.format(author="A", message=m, diff=DIFF)
+    texts = [
+        "fatal: the quorl is out of zems (code 7)", git("The quorl is out of zems"), "The quorl is out of zems!", '{"status": 500, "message": "this bream has lost its way"}', git("Fix it\n\n    This bream is out of zems"),
+        git("Explain why the quorl is out of zems"), git("The quorl is"), git("Its way"), "A bream has lost its way",
+    ]
+    docs = documents(spark, texts)
+    found = {r["doc_id"] for r in residue.residue(docs).collect()}
+    alone = {r["doc_id"] for r in residue.residue(docs, links=False).collect()}
+    assert alone == {0, 3} and found == {0, 1, 2, 3, 4}
+
+
+def test_quoted_sentences_stay_content(spark):
+    texts = ['{"status": 500, "message": "Fix the edges"}'] + [GIT.format(author=f"A{i}", message="Fix the edges", diff=DIFF) for i in range(30)]
+    texts += [GIT.format(author="B", message="Read all of the slots of the table at once before the merge step starts again {{issue}}", diff=DIFF), GIT.format(author="B", message="Read all of the slots of the table at once before the merge step starts again", diff=DIFF)]
+    assert {r["doc_id"] for r in residue.residue(documents(spark, texts)).collect()} == {0, 31}
+
+
+def rows_of(spark, rows):
+    """Rows of signed pieces, from (set_id, label, shingles)."""
+    out = []
+    for i, label_, s in rows:
+        hashes = np.array(s, np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        out.append((i, label_, int(residue.signatures(hashes, np.array([0])).view(np.int64)[0]), s, []))
+    return spark.createDataFrame(out, "set_id bigint, label string, signature bigint, shingles array<int>, words array<int>")
+
+
 def test_labels_move_along_links(spark):
-    """A chain of texts, each near the one before: the label of the first reaches the last."""
-    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
-    words = [name(i) for i in range(6000)]
-    chain = []
-    for step in range(4):
-        chain.append(" ".join(words))
-        words[step * 40] = "other"
-    far = " ".join(name(10_000 + i) for i in range(6000))
-    hashed = [residue.shingles(t) for t in [*chain, far]]
-    flat = np.array([h for hs in hashed for h in hs], np.uint64)
-    signs = residue.signatures(flat, np.cumsum([0, *map(len, hashed[:-1])]))
-    rows = [(i, "error" if i == 0 else None, int(s.view(np.int64)), [int(np.int64(h >> 32).astype(np.int32)) for h in hs]) for i, (s, hs) in enumerate(zip(signs, hashed, strict=True))]
-    distance = lambda a, b: int(signs[a] ^ signs[b]).bit_count()
-    assert all(distance(i, i + 1) <= residue.HAMMING for i in range(3)) and distance(0, 4) > residue.HAMMING
-    signed = spark.createDataFrame(rows, "piece_id bigint, label string, signature bigint, shingles array<int>")
-    assert {r["piece_id"]: r["label"] for r in residue.labelled_pieces(signed).collect()} == dict.fromkeys(range(4), "error")
+    """A chain of sets, each near the one before: the label of the first reaches the last, which is unlike the first."""
+    chain = [(step, "error" if step == 0 else None, list(range(step * 40, 400 + step * 40))) for step in range(6)]
+    got = residue.labelled_sets(rows_of(spark, [*chain, (99, None, list(range(5000, 5400)))]))
+    assert {r["set_id"]: r["label"] for r in got.collect()} == dict.fromkeys(range(6), "error")
 
 
 def test_blocks_find_every_pair_within_the_distance(spark):
     rng = np.random.default_rng(7)
     base = rng.integers(-(1 << 62), 1 << 62, 200)
     near = [int(b) ^ sum(1 << int(k) for k in rng.choice(63, residue.HAMMING, replace=False)) for b in base]
-    known = spark.createDataFrame([(i, "error", int(b), [1, 2]) for i, b in enumerate(base)], "piece_id bigint, label string, signature bigint, shingles array<int>")
-    others = spark.createDataFrame([(1000 + i, n, [1, 2]) for i, n in enumerate(near)] + [(5000, int(base[0]), [3, 4])], "piece_id bigint, signature bigint, shingles array<int>")
-    assert sorted(r["piece_id"] for r in residue.near_labelled(known, others).collect()) == list(range(1000, 1200))
+    known = spark.createDataFrame([(i, "error", int(b), [1, 2]) for i, b in enumerate(base)], "set_id bigint, label string, signature bigint, shingles array<int>")
+    others = spark.createDataFrame([(1000 + i, n, [1, 2]) for i, n in enumerate(near)] + [(5000, int(base[0]), [3, 4])], "set_id bigint, signature bigint, shingles array<int>")
+    assert sorted(r["set_id"] for r in residue.near_labelled(known, others).collect()) == list(range(1000, 1200))
+
+
+def test_many_sets_that_share_a_shingle(spark):
+    rows = [(i, "error" if i < 40 else None, [*range(50), 1000 + i]) for i in range(200)] + [(500, None, [*range(20), 7000])]
+    assert {r["set_id"] for r in residue.labelled_sets(rows_of(spark, rows)).collect()} == set(range(200))
 
 
 def test_signatures_are_majorities():
@@ -118,35 +147,27 @@ def test_signatures_are_majorities():
 
 @pytest.mark.parametrize("share", [0.8, 0.85, 0.9, 0.95])
 def test_every_pair_of_enough_similarity_is_linked(spark, share):
-    """Pairs whose signatures may differ in many bits; less similar ones get no label."""
+    """Recall 1 at the bound, of pairs whose signatures may differ in many bits; less similar ones get no label."""
     rng = np.random.default_rng(int(share * 100))
     rows, want = [], set()
     for pair in range(60):
         size = int(rng.choice([20, 100, 300]))
         common, fewer = int(size * share), pair % 3 == 0
         shingles = [int(x) for x in rng.choice(1 << 31, size, replace=False)]
-        base, near = shingles, shingles[: common - 1 if fewer and share == 0.8 else common]
-        for i, (s, label) in enumerate([(base, "error"), (near, None)]):
-            hashes = np.array(s, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            rows.append((pair * 2 + i, label, int(residue.signatures(hashes, np.array([0])).view(np.int64)[0]), s))
+        near = shingles[: common - 1 if fewer and share == 0.8 else common]
+        rows += [(pair * 2, "error", shingles), (pair * 2 + 1, None, near)]
         if len(near) >= 0.8 * size:
             want.add(pair * 2 + 1)
-    signed = spark.createDataFrame(rows, "piece_id bigint, label string, signature bigint, shingles array<int>")
-    found = {r["piece_id"] for r in residue.labelled_pieces(signed).collect()}
+    found = {r["set_id"] for r in residue.labelled_sets(rows_of(spark, rows)).collect()}
     assert found == want | set(range(0, 120, 2))
-
-
-def test_pieces_of_tabbed_words_are_compared(spark):
-    copy = "the\tserver\tof\tkalin\tgave\tone\tmore\tpage"
-    docs = documents(spark, [copy])
-    assert residue.signed_pieces(docs.select("doc_id", "text")).count() == 1
+    print(f"links of similarity {share}: {len(found & want)} of {len(want)} found")
 
 
 @pytest.mark.parametrize(("text", "want"), [
-    ('{"status": 503, "message": "The mirror hit a rate limit", "trace": "' + "at kalin.horen(); " * 500 + '"}', "error"), ("Page not found\n" * 301, "error"), ("404 Page not found. " * 300, "error"),
-    ("Please enable JavaScript to view this page.\n" * 100, "notice"), ('<html><body class="' + "wide " * 1000 + '"><h1>Bad gateway</h1></body></html>', "error"), ("<div>" * 2000 + "Forbidden" + "</div>" * 2000, "error"),
+    ('{"status": 503, "message": "The mirror hit a rate limit", "trace": "' + "at kalin.horen(); " * 500 + '"}', "error"), ("Page not found\n" * 301, "filler"), ("404 Page not found. " * 300, "filler"),
+    ("<noscript>" + "Please enable JavaScript. " * 100 + "</noscript>", "notice"), ('<html><body class="' + "wide " * 1000 + '"><h1>Bad gateway</h1></body></html>', "error"), ("<div>" * 2000 + "Bad gateway" + "</div>" * 2000, "error"),
     ("Too many requests\n" + "Home | " * 1000 + "Help", "error"), ("Access denied" + " Reference 0a1." * 500, "error"), ("[{{title}}]\n" * 60, "placeholder"),
-    ("Fix it. " * 1000 + "Page not found", None), ("[{{title}}]\n" * 60 + "Read the edges from bel", None), ("Fix the page not found text\n" * 200, None),
+    ("Fix it. " * 1000 + "Page not found", None), ("[{{title}}]\n" * 60 + "Read the edges from bel", None), ("Fix the page not found text\n" * 200, "filler"),
 ])
 def test_long_pieces_are_judged_like_short_ones(text, want):
     assert label(text) == want
