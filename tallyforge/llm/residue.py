@@ -30,8 +30,8 @@ HAMMING = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: Least share of a sentence's pieces whose form must tell the label, for the sentence to have it.
 TRUSTED = 0.05
-#: Labelled sets that are tried first for each shingle.
-SOME = 8
+#: Labelled sets that are tried first for each key, and most rows of a table of their keys that is broadcast.
+SOME, BROADCAST_ROWS = 8, 100_000
 #: Least words of a sentence that may be spliced of two labelled ones.
 SPLICED_WORDS = 4
 #: A worker keeps the labels of this many pieces.
@@ -106,61 +106,62 @@ def signed_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return made.withColumnRenamed("__key", key)
 
 
-def _tables(rows: DataFrame, *keep: str) -> DataFrame:
-    """Each row once per pair of blocks of its signature: ``slot`` says which blocks and what they hold."""
-    cut = [F.shiftrightunsigned("signature", at).bitwiseAND(F.lit((1 << width) - 1)) for at, width in BLOCKS]
-    slots = [F.shiftleft(F.lit(k).cast("bigint"), 26) + F.shiftleft(cut[a], 13) + cut[b] for k, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    return rows.select(*keep, "signature", F.explode(F.array(*slots)).alias("slot"))
-
-
 def _set() -> Column:
     """The shingles as a set in an order that all pieces share."""
     return F.sort_array(F.array_distinct("shingles"))
 
 
-def _prefixes(rows: DataFrame, *keep: str) -> DataFrame:
-    """Each row once per shingle of its set's prefix, with the set's ``size``.
+def _keys(rows: DataFrame) -> DataFrame:
+    """Each set once per key that near-duplicates may share: set_id, key, signature (for slots of the SimHash tables), size (for shingles).
 
-    Sets of similarity s share at least s * size of either, so all but so many less one of the first shingles of each
-    hold a common one: pairs that are alike always meet.
+    A slot says which two blocks of the signature are meant and what they hold. Shingles are those of the set's prefix:
+    sets of similarity s share at least s * size of either, so all but so many less one of the first shingles of each
+    hold a common one, and pairs that are alike always meet.
     """
-    of = rows.select(*keep, _set().alias("set")).withColumn("size", F.size("set"))
+    cut = [F.shiftrightunsigned("signature", at).bitwiseAND(F.lit((1 << width) - 1)) for at, width in BLOCKS]
+    slots = [F.shiftleft(F.lit(k + 1).cast("bigint"), 40) + F.shiftleft(cut[a], 13) + cut[b] for k, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))]
+    of = rows.select("set_id", "signature", F.array(*slots).alias("slots"), _set().alias("set")).withColumn("size", F.size("set"))
     needed = F.ceil(SIMILARITY * F.col("size") - 1e-9).cast("int")
-    return of.select(*(c for c in of.columns if c != "set"), F.explode(F.slice("set", 1, F.col("size") - needed + 1)).alias("shingle"))
+    prefix = F.slice("set", F.lit(1), F.col("size") - needed + 1).cast("array<bigint>")
+    each = of.select("set_id", "signature", "size", F.explode(F.concat("slots", prefix)).alias("key"))
+    return each.select("set_id", "key", F.when(_is_slot(), F.col("signature")).alias("signature"), F.when(~_is_slot(), F.col("size")).alias("size"))
 
 
-def near_labelled(known: DataFrame, others: DataFrame) -> DataFrame:
-    """set_id and label of the ``others`` that are near-duplicates of ``known`` (both: set_id, signature, shingles; known: label).
-
-    The SimHash tables give the pairs within HAMMING bits, the prefixes every pair of at least SIMILARITY.
-    """
-    a = _tables(known, F.col("set_id").alias("known_id")).withColumnRenamed("signature", "known_signature")
-    b = _tables(others, "set_id")
-    close = F.bit_count(F.col("signature").bitwiseXOR(F.col("known_signature"))) <= HAMMING
-    signs = b.join(a, "slot").where(close).select("set_id", "known_id")
-    c = _prefixes(known, F.col("set_id").alias("known_id")).withColumnRenamed("size", "known_size")
-    return _verified(signs, c, known, others)
+def _is_slot() -> Column:
+    return F.col("key") >= F.lit(1 << 40)
 
 
-def _near_some(known: DataFrame, others: DataFrame) -> DataFrame:
-    """As ``near_labelled``, with at most SOME of the sets of ``known`` for each shingle: one set that is alike is enough for a label.
+def _bounded(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast if it has at most BROADCAST_ROWS rows; else it is shuffled like the other side."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
-    Where many sets share a shingle, this leaves few of ``others`` to compare with all of them.
-    """
-    c = _prefixes(known, F.col("set_id").alias("known_id")).withColumnRenamed("size", "known_size")
-    few = c.groupBy("shingle", F.pmod(F.xxhash64("known_id"), F.lit(SOME)).alias("k")).agg(F.min(F.struct("known_id", "known_size")).alias("s"))
-    none = known.select(F.col("set_id"), F.col("set_id").alias("known_id")).limit(0)
-    return _verified(none, few.select("shingle", "s.known_id", "s.known_size"), known, others)
 
-
-def _verified(pairs: DataFrame, prefixes: DataFrame, known: DataFrame, others: DataFrame) -> DataFrame:
-    """set_id and label of ``others`` in a pair, or sharing a shingle of ``prefixes``, that are alike in truth."""
-    fits = F.least("size", "known_size") >= SIMILARITY * F.greatest("size", "known_size") - 1e-9
-    met = _prefixes(others, "set_id").join(prefixes, "shingle").where(fits).select("set_id", "known_id")
+def _alike(keys: DataFrame, known: DataFrame, others: DataFrame) -> DataFrame:
+    """set_id and label of ``others`` that share one of ``keys`` (of ``known``) and are alike in truth."""
+    far = F.bit_count(F.col("signature").bitwiseXOR(F.col("known_signature"))) > HAMMING
+    other_size = F.least("size", "known_size") < SIMILARITY * F.greatest("size", "known_size") - 1e-9
+    theirs = keys.withColumnsRenamed({"set_id": "known_id", "signature": "known_signature", "size": "known_size"})
+    met = _keys(others).join(_bounded(theirs), "key").where(~F.coalesce(far, other_size)).select("set_id", "known_id").distinct()
     x = known.select(F.col("set_id").alias("known_id"), "label", F.col("shingles").alias("known_shingles"))
     y = others.select("set_id", "shingles")
     alike = F.size(F.array_intersect("shingles", "known_shingles")) >= SIMILARITY * F.size(F.array_union("shingles", "known_shingles")) - 1e-9
-    return pairs.unionByName(met).distinct().join(x, "known_id").join(y, "set_id").where(alike).groupBy("set_id").agg(F.min("label").alias("label"))
+    return met.join(x, "known_id").join(y, "set_id").where(alike).groupBy("set_id").agg(F.min("label").alias("label"))
+
+
+def near_labelled(known: DataFrame, others: DataFrame) -> DataFrame:
+    """set_id and label of the ``others`` that are near-duplicates of ``known`` (both: set_id, signature, shingles; known: label).
+
+    The SimHash tables give the pairs within HAMMING bits, the prefixes every pair of at least SIMILARITY. One set that
+    is alike is enough for a label: first at most SOME sets of ``known`` are tried for each key, and for keys that more
+    of them share, what is left of ``others`` is compared with all. The result is stored.
+    """
+    keys = cut_lineage(_keys(known))
+    some = keys.groupBy("key", F.pmod(F.xxhash64("set_id"), F.lit(SOME)).alias("k")).agg(F.min(F.struct("set_id", "signature", "size")).alias("s"), F.count(F.lit(1)).alias("n"))
+    first = cut_lineage(_alike(some.select("key", "s.*"), known, others))
+    more = keys.join(some.where("n > 1").select("key").distinct(), "key", "left_semi")
+    if more.isEmpty():
+        return first
+    return first.unionByName(cut_lineage(_alike(more, known, others.join(first, "set_id", "left_anti"))))
 
 
 def _spread_labels(last: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -171,9 +172,7 @@ def _spread_labels(last: DataFrame, others: DataFrame) -> tuple[DataFrame, DataF
     """
     reached = last.select("set_id", "label")
     while True:
-        some = cut_lineage(_near_some(last, others))
-        rest = others.join(some, "set_id", "left_anti")
-        new = cut_lineage(some.unionByName(near_labelled(last, rest)))
+        new = near_labelled(last, others)
         if new.isEmpty():
             return reached, others
         reached = reached.unionByName(new)

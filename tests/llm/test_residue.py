@@ -134,9 +134,13 @@ def test_blocks_find_every_pair_within_the_distance(spark):
     assert sorted(r["set_id"] for r in residue.near_labelled(known, others).collect()) == list(range(1000, 1200))
 
 
-def test_many_sets_that_share_a_shingle(spark):
-    rows = [(i, "error" if i < 40 else None, [*range(50), 1000 + i]) for i in range(200)] + [(500, None, [*range(20), 7000])]
-    assert {r["set_id"] for r in residue.labelled_sets(rows_of(spark, rows)).collect()} == set(range(200))
+@pytest.mark.parametrize(("some", "rows"), [(8, 100_000), (1, 100_000), (2, 0)])
+def test_many_sets_that_share_a_shingle(spark, monkeypatch, some, rows):
+    """The same links, however few sets are tried first and whether keys are broadcast or shuffled."""
+    monkeypatch.setattr(residue, "SOME", some)
+    monkeypatch.setattr(residue, "BROADCAST_ROWS", rows)
+    sets = [(i, "error" if i < 40 else None, [*range(50), 1000 + i]) for i in range(200)] + [(500, None, [*range(20), 7000])]
+    assert {r["set_id"] for r in residue.labelled_sets(rows_of(spark, sets)).collect()} == set(range(200))
 
 
 def test_signatures_are_majorities():
