@@ -1,11 +1,11 @@
-"""Queries of problems 6 to 8 over documents."""
+"""Queries of problems 3, 4 (in ``jet_queries``) and 6 to 8 over documents, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import packing, residue, tokens
+from tallyforge.llm import jet_queries, packing, residue, tokens
 from tallyforge.session import cut_lineage, read_table
 
 
@@ -51,7 +51,7 @@ def p8_kept(spark: SparkSession, sf: str) -> DataFrame:
     return residue.without_residue(docs, residue.residue(docs)).select("doc_id", F.length("text").alias("length"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p7_packed, p7_report, p8_found, p8_labels, p8_kept)}
+QUERIES = jet_queries.QUERIES | {f.__name__: f for f in (p6_ids, p7_packed, p7_report, p8_found, p8_labels, p8_kept)}
 
-#: None of these can be expressed in SQL; the tests compare them with other libraries and brute force.
-SQL: dict[str, str] = {}
+#: SQL cannot express the queries over documents; the tests compare them with other libraries and brute force.
+SQL: dict[str, str] = dict(jet_queries.SQL)
