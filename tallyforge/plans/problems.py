@@ -1,4 +1,4 @@
-"""Queries of the general problems 1 to 5 over the delivered tables, and their SQL."""
+"""Queries of the general problems 1, 2 and 5 over the delivered tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.text import canonical
-from tallyforge.operators import archive, drift, mixing, proportional
+from tallyforge.operators import archive, drift
 from tallyforge.operators.skew import salted_aggregate
-from tallyforge.session import cut_lineage, read_table
+from tallyforge.session import read_table
 
 CANON = "regexp_replace(lower({0}), '[\\s_-]+', '', 'g')"
 
@@ -84,130 +84,6 @@ def p2_archive_index(spark: SparkSession, sf: str) -> DataFrame:
     return archive.unpack(blocks).select("file_id", F.octet_length("payload").alias("n_bytes"), "intact")
 
 
-def _components_once(spark: SparkSession, sf: str) -> DataFrame:
-    """Components with a positive num_jets, each component_id once, in canonical spelling."""
-    return (
-        read_table(spark, sf, "components")
-        .where("num_jets > 0")
-        .select("component_id", "config_id", canonical("sample").alias("sample"), canonical("flavour").alias("flavour"), "num_jets", F.col("num_jets_estimate_available").alias("estimate"))
-        .dropDuplicates(["component_id"])
-    )
-
-
-def _configs_once(spark: SparkSession, sf: str) -> DataFrame:
-    return (
-        read_table(spark, sf, "resampling_configs")
-        .select("config_id", "campaign", canonical("target").alias("target_flavour"), "max_repeat")
-        .dropDuplicates(["config_id"])
-    )
-
-
-def _mix_targets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Components that supply jets, and the target of each sample of a configuration."""
-    parts = _components_once(spark, sf).where("estimate > 0 and sample is not null")
-    limit = _configs_once(spark, sf).select("config_id", "max_repeat", "campaign")
-    targets = parts.groupBy("config_id", "sample").agg(F.sum("num_jets").alias("target_size")).join(limit, "config_id")
-    return parts, targets
-
-
-def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Samples of a configuration that cannot supply their share: the components are mixed by their estimates."""
-    parts, targets = _mix_targets(spark, sf)
-    plan = mixing.source_plan(parts, targets, "config_id", "sample", "estimate")
-    mixed = mixing.mix_sources(parts, plan, "config_id", "sample", ["component_id"], "estimate")
-    report = mixing.mix_report(mixed, plan, "config_id", "sample", "estimate")
-    return report.where("capped").select("config_id", "sample")
-
-
-def _campaign_jets(spark: SparkSession, sf: str) -> DataFrame:
-    """The jets of each campaign, each once: campaign, sample, jet_id."""
-    return (
-        read_table(spark, sf, "jets")
-        .select("campaign", canonical("sample").alias("sample"), "jet_id")
-        .where("jet_id is not null and sample is not null and campaign is not null")
-        .distinct()
-    )
-
-
-def _mixed_jets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    _, targets = _mix_targets(spark, sf)
-    wanted = targets.select("config_id", F.col("sample"), "campaign")
-    jets = _campaign_jets(spark, sf).join(wanted, ["campaign", "sample"]).select("config_id", "sample", "jet_id", F.lit(1).alias("size"))
-    plan = cut_lineage(mixing.source_plan(jets, targets, "config_id", "sample", "size"))
-    return mixing.mix_sources(jets, plan, "config_id", "sample", ["jet_id"], "size"), plan
-
-
-def p3_mixed_jets(spark: SparkSession, sf: str) -> DataFrame:
-    """The jets that each configuration mixes, with their number of copies."""
-    mixed, _ = _mixed_jets(spark, sf)
-    return mixed.select("config_id", "sample", "jet_id", "copies")
-
-
-def p3_shares(spark: SparkSession, sf: str) -> DataFrame:
-    """Target and actual share of each sample in each configuration's mix of jets."""
-    mixed, plan = _mixed_jets(spark, sf)
-    return mixing.mix_report(mixed, plan, "config_id", "sample", "size").select(
-        "config_id", "sample", "target_size", "available", "actual_size", "most_copies", "capped", F.round("target_share", 9).alias("target_share"), F.round("actual_share", 9).alias("actual_share")
-    )
-
-
-def _sample_targets(spark: SparkSession, sf: str) -> DataFrame:
-    """Per configuration and flavour (that of its components, and its target): label, weight, floor and seats."""
-    flavours = read_table(spark, sf, "flavours").select(canonical("flavour").alias("flavour"), "flavour_label", "min_jets")
-    configs = _configs_once(spark, sf)
-    parts = _components_once(spark, sf).where("flavour is not null").groupBy("config_id", "flavour").agg(F.sum("num_jets").alias("num_jets"))
-    seats = parts.groupBy("config_id").agg(F.sum("num_jets").alias("seats"))
-    aims = configs.where("target_flavour is not null").select("config_id", F.col("target_flavour").alias("flavour"), F.lit(0).cast("bigint").alias("num_jets"))
-    rows = parts.unionByName(aims).groupBy("config_id", "flavour").agg(F.sum("num_jets").alias("target"))
-    return (
-        rows.join(seats, "config_id")
-        .join(configs.select("config_id", "campaign"), "config_id")
-        .join(F.broadcast(flavours), "flavour", "left")
-        .select("config_id", "campaign", "flavour", "flavour_label", "target", F.coalesce("min_jets", F.lit(0)).alias("floor"), "seats")
-    )
-
-
-def _config_sample(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    jets = read_table(spark, sf, "jets").where("flavour_label is not null and campaign is not null")
-    # Small and used several times: stored, as plans that hold it again and again need gigabytes on the driver.
-    targets = cut_lineage(proportional.with_availability(jets, _sample_targets(spark, sf), "campaign", "flavour_label", "jet_id"))
-    return proportional.proportional_sample(jets, targets, "campaign", "flavour_label", "jet_id", "config_id"), targets
-
-
-def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Flavours of which a configuration wants more jets than its campaign has."""
-    sample, targets = _config_sample(spark, sf)
-    report = proportional.sample_report(sample, targets, "campaign", "flavour_label", "config_id")
-    return report.where("target > 0 and target > available").select("config_id", "flavour")
-
-
-def p4_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """The sampled jets of each configuration."""
-    sample, _ = _config_sample(spark, sf)
-    return sample.select("config_id", "flavour_label", "jet_id", "rank", "by_floor")
-
-
-def p4_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Target and actual share of each flavour in each configuration's sample, and where it falls short."""
-    sample, targets = _config_sample(spark, sf)
-    report = proportional.sample_report(sample, targets, "campaign", "flavour_label", "config_id")
-    return report.select("config_id", "flavour", "seats", "available", "taken", F.round("target_share", 9).alias("target_share"), F.round("actual_share", 9).alias("actual_share"), "short")
-
-
-def p4_campaign_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Without a configuration: half of each campaign's labelled jets, in the proportions of flavours.target_share."""
-    jets = read_table(spark, sf, "jets").where("flavour_label is not null and campaign is not null")
-    flavours = read_table(spark, sf, "flavours").select("flavour_label", F.col("target_share").alias("target"), F.col("min_jets").alias("floor"))
-    # Every campaign wants every flavour: 8 fixed rows attached as one array, not joined.
-    rows = flavours.agg(F.collect_list(F.struct("flavour_label", "target", "floor")).alias("rows"))
-    size = jets.groupBy("campaign").agg((F.count_distinct("jet_id") / 2).cast("bigint").alias("seats"))
-    wanted = size.select("campaign", "seats", F.explode(rows.scalar()).alias("r")).select("campaign", "seats", "r.*").withColumn("sample_of", F.col("campaign"))
-    targets = cut_lineage(proportional.with_availability(jets, wanted, "campaign", "flavour_label", "jet_id"))
-    sample = proportional.proportional_sample(jets, targets, "campaign", "flavour_label", "jet_id", "sample_of")
-    report = proportional.sample_report(sample, targets, "campaign", "flavour_label", "sample_of")
-    return report.select("campaign", "flavour_label", "seats", "available", "taken", F.round("target_share", 9).alias("target_share"), F.round("actual_share", 9).alias("actual_share"), "short")
-
-
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every change of schema between consecutive dumps of a producer."""
     return drift.schema_changes(read_table(spark, sf, "jet_dumps"), read_table(spark, sf, "jets"))
@@ -220,16 +96,9 @@ def p5_jets_table(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_jets_by_label, p1_components_by_flavour, p2_found, p2_jets_once, p2_archive_index, p3_found, p3_mixed_jets, p3_shares, p4_found, p4_sample, p4_report, p4_campaign_report, p5_found, p5_jets_table)
+    for f in (p1_found, p1_jets_by_label, p1_components_by_flavour, p2_found, p2_jets_once, p2_archive_index, p5_found, p5_jets_table)
 }
 
-_PARTS = f"""parts as (
-  select distinct component_id, config_id, {CANON.format('sample')} as sample, {CANON.format('flavour')} as flavour, num_jets, num_jets_estimate_available as estimate
-  from components where num_jets > 0
-), configs as (
-  select distinct config_id, campaign, {CANON.format('target')} as target_flavour, max_repeat from resampling_configs
-)"""
-
 SQL = {
     "p1_found": f"""
 with v as (
@@ -268,18 +137,4 @@ with l as (
 select distinct a.file_id as file_a, b.file_id as file_b from held a join held b on a.jet_id = b.jet_id and a.file_id < b.file_id""",
     "p2_archive_index": """
 select file_id, cast(octet_length(cast(payload as blob)) as int) as n_bytes, true as intact from jet_files""",
-    "p3_found": f"""
-with {_PARTS}, s as (
-  select config_id, sample, sum(num_jets) as wanted, sum(estimate) as have from parts where estimate > 0 and sample is not null group by all
-)
-select s.config_id, s.sample from s join configs using (config_id) where wanted > max_repeat * have""",
-    "p4_found": f"""
-with {_PARTS}, w as (
-  select config_id, flavour, sum(num_jets) as wanted from parts where flavour is not null group by all
-), have as (
-  select campaign, flavour_label, count(distinct jet_id) as n from jets where flavour_label is not null group by all
-)
-select w.config_id, w.flavour from w join configs using (config_id) left join flavours f on f.flavour = w.flavour
-left join have h on h.campaign = configs.campaign and h.flavour_label = f.flavour_label
-where wanted > coalesce(n, 0)""",
 }

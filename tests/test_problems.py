@@ -1,13 +1,12 @@
 """Operators of the general problems on small fixtures: brute force, nulls, ties, repeats, empty tables, clashing names."""
 
 import json
-from collections import Counter
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import archive, drift, mixing, proportional
+from tallyforge.operators import archive, drift
 from tallyforge.operators.ranking import bucketed_rank
 from tallyforge.operators.skew import heavy_keys, salted_aggregate
 
@@ -97,74 +96,6 @@ def test_records_and_compact(spark):
     assert {r["file_no"] for r in once.collect()} <= {0, 1}
 
 
-# --- mixing --------------------------------------------------------------------------------------------------------
-def test_mix_meets_its_targets(spark):
-    rows = [("m", s, i, 1) for s, n in (("big", 5000), ("small", 30), ("tiny", 3)) for i in range(n)] + [("other", None, 1, 1), ("m", "unplanned", 1, 1)]
-    records = spark.createDataFrame(rows, "mix string, source string, id int, size int")
-    targets = spark.createDataFrame(
-        [("m", "big", 700, 2), ("m", "small", 100, 4), ("m", "tiny", 50, 5), ("m", "absent", 9, 3), ("other", None, 3, None), ("void", "x", None, 1)], "mix string, source string, target_size bigint, max_repeat int"
-    )
-    plan = mixing.source_plan(records, targets, "mix", "source", "size")
-    mixed = mixing.mix_sources(records, plan, "mix", "source", ["id"], "size")
-    report = {r["source"]: r for r in mixing.mix_report(mixed, plan, "mix", "source", "size").collect()}
-    assert {s: (r["emitted"], r["capped"]) for s, r in report.items()} == {"big": (700, False), "small": (100, False), "tiny": (15, True), "absent": (0, True), None: (3, False), "x": (0, False)}
-    assert report["small"]["most_copies"] == 4 and report["tiny"]["most_copies"] == 5 and report["big"]["most_copies"] == 1
-    assert abs(sum(r["actual_share"] for s, r in report.items() if s in ("big", "small", "tiny", "absent")) - 1) < 1e-9
-    again = mixing.mix_sources(records.repartition(7), plan, "mix", "source", ["id"], "size")
-    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, mixed.collect()), key=str)
-
-
-def test_mix_of_nothing(spark):
-    records = spark.createDataFrame([], "mix string, source string, id int, size int")
-    targets = spark.createDataFrame([("m", "a", 5, 2)], "mix string, source string, target_size bigint, max_repeat int")
-    plan = mixing.source_plan(records, targets, "mix", "source", "size")
-    mixed = mixing.mix_sources(records, plan, "mix", "source", ["id"], "size")
-    assert mixed.count() == 0 and mixing.mix_report(mixed, plan, "mix", "source", "size").collect()[0]["capped"]
-    assert mixing.source_plan(records, targets.limit(0), "mix", "source", "size").count() == 0
-
-
-def test_mix_with_sizes_and_nulls(spark):
-    records = spark.createDataFrame([("m", "a", i, None if i % 10 == 0 else i % 7 + 1, "x") for i in range(2000)], "mix string, source string, id int, size int, copies string")
-    total = records.agg(F.sum("size")).first()[0]
-    targets = spark.createDataFrame([("m", "a", total // 3, 3)], "mix string, source string, target_size bigint, max_repeat int")
-    plan = mixing.source_plan(records, targets, "mix", "source", "size")
-    got = mixing.mix_report(mixing.mix_sources(records, plan, "mix", "source", ["id"], "size"), plan, "mix", "source", "size").first()
-    assert abs(got["actual_size"] - total / 3) < 0.1 * total / 3 and not got["capped"]
-
-
-# --- proportional samples ------------------------------------------------------------------------------------------
-def sample(spark, rows, targets):
-    records = spark.createDataFrame(rows, "g string, c int, id int, rank string")
-    t = spark.createDataFrame(targets, "s string, g string, c int, target double, floor int, seats int")
-    t = proportional.with_availability(records, t, "g", "c", "id")
-    got = proportional.proportional_sample(records, t, "g", "c", "id", "s")
-    return got, t, {(r["s"], r["c"]): r for r in proportional.sample_report(got, t, "g", "c", "s").collect()}
-
-
-def divisor_seats(have, target, floor, seats):
-    """Brute force: seats one by one, floors first, then the smallest (rank - 1/2) / target."""
-    total = sum(target.values())
-    queue = [(r > floor[c], (r - 0.5) / (target[c] / total) if target[c] else float("inf"), c) for c in have for r in range(1, have[c] + 1) if target[c] or r <= floor[c]]
-    return Counter(c for _, _, c in sorted(queue)[:seats])
-
-
-@pytest.mark.parametrize("seats", [1, 10, 100, 333, 5000])
-def test_sample_is_the_divisor_method(spark, seats):
-    have, target, floor = {0: 500, 1: 40, 2: 7, 3: 90}, {0: 5.0, 1: 3.0, 2: 1.0, 3: 0.0}, {0: 0, 1: 0, 2: 5, 3: 4}
-    rows = [("g", c, 1000 * c + i, "x") for c, n in have.items() for i in range(n)] * 2 + [("g", None, 1, "x"), ("g", 0, None, "x"), ("h", 0, 1, "x")]
-    got, _, report = sample(spark, rows, [("s", "g", c, target[c], floor[c], seats) for c in have])
-    want = divisor_seats(have, target, floor, seats)
-    assert {c: report["s", c]["taken"] for c in have} == {c: want[c] for c in have}
-    ids = [r["id"] for r in got.collect()]
-    assert len(ids) == len(set(ids)) == sum(want.values())
-    assert report["s", 2]["available"] == 7 and report["s", 2]["short"] == (seats / 9 > 7)
-
-
-def test_sample_of_nothing(spark):
-    got, _, report = sample(spark, [], [("s", "g", 1, 1.0, 1, 5), (None, "g", 1, None, None, None)])
-    assert got.count() == 0 and report["s", 1]["taken"] == 0 and report["s", 1]["short"]
-
-
 # --- drifting schemas ----------------------------------------------------------------------------------------------
 def jets(spark, n=60):
     rows = [(i, *[float(1000 * i + k * 37) if k in (0, 3, 4) else (i % 23) / 7 + k for k in range(6)], 5000 + 13 * i, i % 5, 5, i % 4, [(bool((i + s) % 3), s / 10 + i / 1000, 0.5, 0.25, i / 500 - s, s) for s in range(4)]) for i in range(n)]
