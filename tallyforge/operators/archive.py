@@ -1,9 +1,9 @@
 """Many tiny files into few large ones (problem 2).
 
 ``pack`` lays the original bytes of many files into large blocks; every block carries an index of path, offset,
-length and checksum. ``unpack`` gives every file back, byte for byte, from any block on its own, so blocks are
-read in parallel; ``lookup`` fetches single files. ``records`` reads the packed files, and ``compact`` lays their
-records out as a few well-sized files per label, each record once.
+length and checksum. ``write`` stores blocks, a directory per group, and ``unpack`` gives every file back, byte for
+byte, from any block on its own, so blocks are read in parallel; ``lookup`` fetches single files. ``records`` reads
+the packed files, and ``compact`` lays their records out as a few well-sized files per label, each record once.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.functions.randomness import hash_uniform
+from tallyforge.functions.randomness import hash_uniform, md5_uniform
+from tallyforge.session import bounded, stored
 
 #: Bytes of a block, and blocks that are cut from one shard (the rows sorted together).
 BLOCK_BYTES = 16 << 20
@@ -38,7 +39,7 @@ def pack(files: DataFrame, group: str, path: str, payload: str, meta: list[str],
         F.struct(*meta).alias("__meta"),
         F.col(payload).cast("binary").alias("__bytes"),
     ).withColumn("__len", F.octet_length("__bytes"))
-    shards = (
+    shards = bounded(
         files.groupBy(F.col(group).alias("__g"))
         .agg(F.ceil(F.sum(F.octet_length(payload)) / F.lit(block_bytes * BLOCKS_PER_SHARD)).alias("__shards"))
     )
@@ -74,6 +75,23 @@ def pack(files: DataFrame, group: str, path: str, payload: str, meta: list[str],
     ).withColumn("n_bytes", F.octet_length("block"))
 
 
+def write(blocks: DataFrame, path: str) -> None:
+    """Stores blocks as containers: a row group has few blocks, so that readers take them one by one."""
+    blocks.write.option("compression", "zstd").option("parquet.block.size", 4 * BLOCK_BYTES).mode("overwrite").parquet(path)
+
+
+def packed(files: DataFrame, group: str, path: str, payload: str, meta: list[str]) -> DataFrame:
+    """The files' blocks, written to the shared folder and read back."""
+    return stored(pack(files, group, path, payload, meta), "archive")
+
+
+def report(blocks: DataFrame, group: str) -> DataFrame:
+    """Per ``group``: files put in, bytes of them, blocks that hold them, and the largest block."""
+    return blocks.groupBy(group).agg(
+        F.sum("n_files").cast("bigint").alias("n_files"), F.sum("n_bytes").cast("bigint").alias("n_bytes"), F.count(F.lit(1)).alias("n_blocks"), F.max("n_bytes").alias("largest_block")
+    )
+
+
 def _by_start(a: Column, b: Column) -> Column:
     """Order of files within a block: by start, files without bytes before the file that starts at the same place."""
     key = lambda f: F.struct(f["start"], F.coalesce(f["length"], F.lit(0)), f["path"])
@@ -152,7 +170,7 @@ RECORD = [("jet_id", "bigint"), ("pt", "double"), ("eta", "double"), ("flavour_l
 def compact(recs: DataFrame, key: str, label: str, newest: list[str], rows_per_file: int = 1_000_000) -> DataFrame:
     """Each ``key`` once, its newest version by the columns ``newest``, with ``file_no`` within its ``label``.
 
-    A label's records are spread by hash over ceil(rows / ``rows_per_file``) files of nearly equal size; write them
+    A label's records are spread by md5 of seed and key over ceil(rows / ``rows_per_file``) files of nearly equal size; write them
     with ``partitionBy(label, "file_no")``. A null label is a label of its own; rows with a null key are dropped as
     they name no record. Ties in ``newest`` are broken by the values themselves.
     """
@@ -163,9 +181,9 @@ def compact(recs: DataFrame, key: str, label: str, newest: list[str], rows_per_f
         .agg(F.max(F.struct(*newest, *rest)).alias("__r"))
         .select(key, *[F.col(f"__r.{c}").alias(c) for c in recs.columns if c != key])
     )
-    n = once.groupBy(F.col(label).alias("__l")).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("__files"))
+    n = bounded(once.groupBy(F.col(label).alias("__l")).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("__files")))
     return (
         once.join(n, on=F.col(label).eqNullSafe(F.col("__l")), how="inner")
-        .withColumn("file_no", F.floor(hash_uniform(11, key) * F.col("__files")).cast("int"))
+        .withColumn("file_no", F.floor(md5_uniform(11, key) * F.col("__files")).cast("int"))
         .drop("__l", "__files")
     )

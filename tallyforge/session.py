@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "tallyforge", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,13 +37,37 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder of ``spark.checkpoint.dir``, so that lost executors cost no recomputation.
+def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` to be broadcast if it has at most ``rows`` rows, which is counted; else it is joined by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share. Only a local session without one gets a temporary folder, removed at exit."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if spark.sparkContext.applicationId not in _LOCAL:
+        made = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tallyforge-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return _LOCAL[spark.sparkContext.applicationId]
+
+
+_LOCAL: dict[str, str] = {}
 
-    The folder is read from the session; only where none is set (tests, local runs) a temporary one is made.
-    """
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder, so that lost executors cost no recomputation."""
     sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallyforge-checkpoint-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table of its own in the shared folder and read back: columns and conditions still reach the scan."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators import archive, drift
+from tallyforge.operators import archive, drift, skew
 from tallyforge.operators.ranking import bucketed_rank
 from tallyforge.operators.skew import heavy_keys, salted_aggregate
 
@@ -24,7 +24,18 @@ def test_salted_aggregate_is_the_plain_one(spark):
         vs = [v for v, _ in own if v is not None]
         want[k] = (len(own), sum(vs), min(vs), max(i for _, i in own), len(vs))
     assert got == want
-    assert {r["k"] for r in heavy_keys(df, ["k"], 0.3).collect()} == {"hot"}
+    assert {r["k"] for r in heavy_keys(df, ["k"], 0.3, 1.0).collect()} == {"hot"} and heavy_keys(df, ["k"], 0.3, 1.0, 500).count() == 1 and heavy_keys(df.limit(0), ["k"], 0.3).count() == 0
+
+
+@pytest.mark.parametrize("salts", [1, 5])
+def test_distinct_values_of_a_heavy_key(spark, monkeypatch, salts):
+    monkeypatch.setattr(skew, "SAMPLE_SHARE", 1.0)
+    df = spark.createDataFrame([("hot" if i % 4 else None, i % 321 if i % 7 else None) for i in range(4000)], "k string, v int")
+    got = {r["k"]: (r["n"], r["d"]) for r in salted_aggregate(df, ["k"], {"n": ("count", F.lit(1)), "d": ("distinct", F.col("v"))}, salts=salts).collect()}
+    want = {r["k"]: (r["n"], r["d"]) for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("v").alias("d")).collect()}
+    assert got == want
+    with pytest.raises(ValueError):
+        salted_aggregate(df, ["k"], {"a": ("distinct", F.col("v")), "b": ("distinct", F.col("k"))})
 
 
 def test_salted_aggregate_edges(spark):
@@ -74,6 +85,15 @@ def test_archive_round_trip(spark, block_bytes):
     assert [(r["path"], r["payload"]) for r in found] == [("g.xml", FILES[6][3])]
 
 
+def test_archive_is_stored(spark, tmp_path):
+    blocks = archive.pack(files(spark), "label", "file_path", "payload", ["file_id"], 40)
+    archive.write(blocks, str(tmp_path / "containers"))
+    back = spark.read.parquet(str(tmp_path / "containers"))
+    assert {r["path"]: (r["payload"], r["intact"]) for r in archive.unpack(back).collect()} == {p: (s, True) for _, p, _, s in FILES}
+    got = {r["label"]: r for r in archive.report(back, "label").collect()}
+    assert got[1]["n_files"] == 4 and got[None]["n_files"] == 4 and got[1]["n_blocks"] >= 2 and sum(r["n_bytes"] for r in got.values()) == sum(len((s or "").encode()) for *_, s in FILES)
+
+
 def test_archive_checksum_shows_damage(spark):
     blocks = archive.pack(files(spark), "label", "file_path", "payload", ["file_id"])
     bad = blocks.withColumn("block", F.translate(F.col("block").cast("string"), "5", "6").cast("binary"))
