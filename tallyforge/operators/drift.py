@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.session import spread
+from tallyforge.session import cut_lineage, spread
 
 #: Columns of the reference table by nesting, with their type as it is written.
 TOP = {
@@ -46,10 +46,12 @@ FITS = {
 
 #: Weights of the first similarities: agreement of the producer's values, of all producers' values, of the names.
 WEIGHTS = (0.6, 0.25, 0.15)
-#: A correspondence holds only if so large a share of the producer's values agrees with the reference table.
+#: A correspondence is checked by values: it holds only if so large a share of the producer's values agrees with the reference table.
 AGREEMENT = 0.9
-#: Groups of producers whose graphs are flooded together.
-PRODUCER_BUCKETS = 64
+#: Score that a field without values to check needs, by its name, type and place alone.
+UNCHECKED = 0.5
+#: Producers whose graphs are flooded together.
+PRODUCERS_AT_ONCE = 64
 #: Dumps of a producer that are put in order together.
 DUMPS_PER_BUCKET = 1024
 
@@ -230,28 +232,62 @@ def flood(pairs: pd.DataFrame, tolerance: float = 1e-3, rounds: int = 200) -> np
     return score
 
 
-def correspondences(recs: DataFrame, jets: DataFrame) -> DataFrame:
+def choose(part: pd.DataFrame) -> pd.DataFrame:
+    """The consistent correspondences of some producers: producer, name, quantity, score.
+
+    ``part`` has a row per producer, field and column with kind, n and hits (values, and those that agree), everywhere
+    (the agreement over all producers) and together (the fields that occur in a dump with this one). Pairs are taken
+    by their score after flooding: a field gets one column, and no column that a field of the same dump has already,
+    unless all it could have are taken. Pairs with values must agree with them, others need a high score.
+    """
+    part = part.sort_values(["producer", "name", "quantity"], ignore_index=True)
+    alike = {x: name_similarity(*x) for x in set(zip(part["name"], part["quantity"], strict=True))}
+    names = np.array([alike[x] for x in zip(part["name"], part["quantity"], strict=True)])
+    everywhere = part["everywhere"].fillna(0.0).to_numpy(float)
+    here = (part["hits"] / part["n"].where(part["n"] > 0)).to_numpy(float)
+    checked = ~np.isnan(here)
+    part["first"] = WEIGHTS[0] * np.where(checked, here, everywhere) + WEIGHTS[1] * everywhere + WEIGHTS[2] * names
+    part["score"] = flood(part)
+    able = part[np.where(checked, here >= AGREEMENT, part["score"] >= UNCHECKED)].sort_values(["score", "first", "quantity"], ascending=[False, False, True])
+    chosen: dict[tuple, tuple] = {}
+    second = []
+    for free in (True, False):
+        for p, name, q, score, together in second if not free else zip(able["producer"], able["name"], able["quantity"], able["score"], able["together"], strict=True):
+            if (p, name) in chosen:
+                continue
+            if free and any(chosen.get((p, other), (None,))[0] == q for other in together):
+                second.append((p, name, q, score, together))
+            else:
+                chosen[p, name] = (q, score)
+    return pd.DataFrame([(*k, *v) for k, v in chosen.items()], columns=["producer", "name", "quantity", "score"])
+
+
+def correspondences(schemas: DataFrame, recs: DataFrame, jets: DataFrame) -> DataFrame:
     """The column (``quantity``) that each producer's field carries: producer, name, quantity, score.
 
-    A field gets the column of highest score among those that AGREEMENT of its values agree with; a field that
-    agrees with none (or has no values of known jets) is left out. Producers are flooded together by hash bucket;
-    a bucket has as many rows as its producers have distinct fields, times the columns.
+    ``schemas`` has producer and fields (name, kind) of every dump. Producers are flooded together by hash, some
+    PRODUCERS_AT_ONCE; a group has as many rows as its producers have distinct fields, times the columns.
     """
     seen = agreement(recs, jets)
     overall = seen.groupBy("name", "quantity").agg((F.sum("hits") / F.sum("n")).alias("everywhere"))
-    pairs = seen.join(overall, ["name", "quantity"]).withColumn("here", F.col("hits") / F.col("n"))
-
-    def select(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["producer", "name", "quantity"], ignore_index=True)
-        alike = {x: name_similarity(*x) for x in set(zip(part["name"], part["quantity"], strict=True))}
-        names = np.array([alike[x] for x in zip(part["name"], part["quantity"], strict=True)])
-        part["first"] = WEIGHTS[0] * part["here"] + WEIGHTS[1] * part["everywhere"] + WEIGHTS[2] * names
-        part["score"] = flood(part)
-        able = part[part["here"] >= AGREEMENT].sort_values(["score", "first", "quantity"], ascending=[False, False, True])
-        return able.drop_duplicates(["producer", "name"])[["producer", "name", "quantity", "score"]]
-
-    bucket = F.pmod(F.xxhash64("producer"), F.lit(PRODUCER_BUCKETS)).alias("bucket")
-    return pairs.groupBy(bucket).applyInPandas(select, "producer string, name string, quantity string, score double")
+    # Few versions of a producer's schema are different: pairs of fields are made of these.
+    versions = schemas.groupBy("producer", F.transform("fields", lambda f: f["name"]).alias("names")).agg(F.first("fields").alias("fields"))
+    fields = (
+        versions.select("producer", "names", F.explode("fields").alias("f"))
+        .groupBy("producer", F.col("f.name").alias("name"))
+        .agg(F.max(F.array_position(F.array(*map(F.lit, KINDS)), F.element_at(F.split("f.kind", r"\+"), -1))).alias("kind"), F.array_distinct(F.flatten(F.collect_set("names"))).alias("together"))
+    )
+    top, inner = (F.array(*map(F.lit, [q for q in QUANTITIES if q.startswith("tracks.") == nested])) for nested in (False, True))
+    kind = F.try_element_at(F.array(*map(F.lit, KINDS)), F.nullif(F.col("kind").cast("int"), F.lit(0)))
+    able = fields.select(
+        "producer", "name", kind.alias("kind"), F.array_remove(F.col("together"), F.col("name")).alias("together"), F.explode(F.when(F.col("name").startswith("tracks."), inner).otherwise(top)).alias("quantity")
+    )
+    n = seen.select(F.col("producer").alias("__p"), F.col("name").alias("__n"), F.col("quantity").alias("__q"), "n", "hits")
+    same = F.col("producer").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n")) & (F.col("quantity") == F.col("__q"))
+    pairs = able.join(n, on=same, how="left").join(overall, ["name", "quantity"], "left").select("producer", "name", "kind", "together", "quantity", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("hits", F.lit(0)).alias("hits"), "everywhere")
+    groups = schemas.agg(F.ceil(F.approx_count_distinct("producer") / F.lit(PRODUCERS_AT_ONCE)).alias("g")).scalar()
+    bucket = F.pmod(F.xxhash64("producer"), F.greatest(groups, F.lit(1))).alias("bucket")
+    return pairs.groupBy(bucket).applyInPandas(choose, "producer string, name string, quantity string, score double")
 
 
 SCHEMA_SCHEMA = "producer string, seq_no int, dump_id bigint, fields array<struct<name string, kind string>>"
@@ -290,10 +326,14 @@ def _parse_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _schemas(dumps: DataFrame, columns: DataFrame) -> DataFrame:
-    """Per dump that holds records: producer, seq_no, dump_id and its fields (``now``) as (name, kind, quantity), by name."""
+def schemas_of(dumps: DataFrame) -> DataFrame:
+    """Per dump that holds records: producer, seq_no, dump_id and its fields (name, kind), by name."""
     whose = [F.col("producer"), F.col("seq_no").cast("int"), F.col("dump_id").cast("bigint")]
-    each = spread(dumps.select(*whose, "payload")).mapInArrow(_parse_schemas, SCHEMA_SCHEMA)
+    return spread(dumps.select(*whose, "payload")).mapInArrow(_parse_schemas, SCHEMA_SCHEMA)
+
+
+def _schemas(each: DataFrame, columns: DataFrame) -> DataFrame:
+    """``each`` (of ``schemas_of``) with its fields (``now``) as (name, kind, quantity), by name."""
     named = each.select("producer", "seq_no", "dump_id", F.inline_outer("fields"))
     carried = columns.select(F.col("producer").alias("__p"), F.col("name").alias("__n"), "quantity")
     same = F.col("producer").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n"))
@@ -333,8 +373,8 @@ def schema_changes(dumps: DataFrame, jets: DataFrame) -> DataFrame:
     retyped. Dumps without records are passed over; a null producer is a producer of its own; extra columns are
     ignored; an empty table gives no rows.
     """
-    recs = records(dumps)
-    pairs = _with_preceding(_schemas(dumps, correspondences(recs, jets))).where("old is not null")
+    each = cut_lineage(schemas_of(dumps))
+    pairs = _with_preceding(_schemas(each, correspondences(each, records(dumps), jets))).where("old is not null")
     gone = F.filter("old", lambda o: ~F.exists("now", lambda n: n["name"] == o["name"]))
     came = F.filter("now", lambda n: ~F.exists("old", lambda o: n["name"] == o["name"]))
     step = pairs.select("dump_id", "old", "now", gone.alias("gone"), came.alias("came"))
@@ -361,17 +401,21 @@ def unified(dumps: DataFrame, jets: DataFrame) -> DataFrame:
 
     One row per record with dump_id, rec_no, jet_id, a column per quantity (null where the record lacks it or it
     cannot be read as a number) and tracks, an array of its slots. Fields that correspond to no column are left out;
-    of several fields that carry one quantity the first by name with a value counts.
+    of several fields that carry one quantity the first by name with a value counts. A dump delivered twice (equal
+    producer, seq_no and payload) counts once.
     """
+    # A dump delivered again counts once: the first of equal ones by dump_id.
+    first = dumps.groupBy("producer", "seq_no", F.sha2("payload", 256).alias("same")).agg(F.min("dump_id").alias("dump_id")).select("dump_id")
+    dumps = dumps.join(first, "dump_id", "left_semi")
     recs = records(dumps)
-    names = correspondences(recs, jets).groupBy(F.col("producer").alias("__p")).agg(F.map_from_entries(F.collect_list(F.struct("name", "quantity"))).alias("__map"))
+    names = correspondences(schemas_of(dumps), recs, jets).groupBy(F.col("producer").alias("__p")).agg(F.map_from_entries(F.collect_list(F.struct("name", "quantity"))).alias("__map"))
     rows = recs.join(names, on=F.col("producer").eqNullSafe(F.col("__p")), how="left").select(
         "dump_id",
         "rec_no",
         "jet_id",
         F.transform(F.array_sort("fields"), lambda f: F.struct(F.try_element_at(F.col("__map"), f["name"]).alias("q"), f["vals"].alias("vals"))).alias("__f"),
     )
-    cast = {"decimal": "double", "whole": "int", "truth": "boolean"}
+    cast = {"decimal": "float", "whole": "int", "truth": "boolean"}
     value = lambda q: F.try_element_at(F.filter("__f", lambda f: (f["q"] == q) & F.exists(f["vals"], lambda v: v.isNotNull())), F.lit(1))["vals"]
     # One array per inner column first: the slots are then zipped by place.
     zipped = rows.select(

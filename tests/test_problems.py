@@ -158,7 +158,10 @@ def test_schema_changes_in_tracks(spark):
 def test_unified_table(spark):
     rs = [record(i, ptJet=("pt", str), cls=("flavour_label", float), odd=("mass", lambda v: "n/a")) | {"tracks": [{"ok": bool((i + s) % 3)} for s in range(4)]} for i in range(1, 12)]
     dumps = spark.createDataFrame([(1, "p", 1, json.dumps(rs)), (2, "p", 2, None)], "dump_id bigint, producer string, seq_no int, payload string")
+    again = dumps.withColumn("dump_id", F.col("dump_id") + 10)
+    assert drift.unified(dumps.union(again), jets(spark)).count() == 11
     got = {r["jet_id"]: r for r in drift.unified(dumps, jets(spark)).collect()}
+    assert drift.unified(dumps, jets(spark)).schema["pt"].dataType.simpleString() == "float"
     assert len(got) == 11 and got[3]["pt"] == 3000.0 and got[3]["flavour_label"] == 3 and got[3]["mass"] is None
     assert [t["valid"] for t in got[3]["tracks"]] == [bool((3 + s) % 3) for s in range(4)] and got[3]["tracks"][0]["d0"] is None
 
@@ -176,6 +179,45 @@ def test_preceding_across_buckets(spark, monkeypatch):
     assert got == {5: None, 10: "f0", 20: "f1", 30: "f2", 80: "f3", 90: "f8", 200: "f9"}
 
 
+def pairs_of(*rows):
+    """Rows of ``choose``: (name, kind, quantity, n, hits, everywhere, fields of the same dumps)."""
+    return pd.DataFrame([("p", *r) for r in rows], columns=["producer", "name", "kind", "quantity", "n", "hits", "everywhere", "together"])
+
+
+def chosen(part):
+    return dict(zip(drift.choose(part)["name"], drift.choose(part)["quantity"], strict=True))
+
+
+def test_flooding_decides_where_values_and_names_do_not(monkeypatch):
+    """Whole numbers that agree with a whole and a decimal column: the types of the graph tell, against the name."""
+    part = pairs_of(("mass_no", "whole", "mass", 9, 9, 0.9, []), ("mass_no", "whole", "eventnumber", 9, 9, 0.9, []), ("w", "decimal", "pt", 9, 1, 0.1, []))
+    assert chosen(part) == {"mass_no": "eventnumber"}
+    monkeypatch.setattr(drift, "flood", lambda rows: rows["first"].to_numpy(float))
+    assert chosen(part) == {"mass_no": "mass"}
+
+
+def test_correspondences_are_one_to_one_within_a_dump():
+    both = [("a", "decimal", q, 9, 9, e, ["b"]) for q, e in (("eta", 1.0), ("abs_eta", 0.9))] + [("b", "decimal", q, 9, 9, e, ["a"]) for q, e in (("eta", 0.99), ("abs_eta", 0.5))]
+    assert chosen(pairs_of(*both)) == {"a": "eta", "b": "abs_eta"}
+    later = [(n, k, q, a, b, e, []) for n, k, q, a, b, e, _ in both]
+    assert chosen(pairs_of(*later)) == {"a": "eta", "b": "eta"}
+    taken = [("a", "decimal", "eta", 9, 9, 1.0, ["b"]), ("b", "decimal", "eta", 9, 9, 0.9, ["a"]), ("b", "decimal", "pt", 9, 2, 0.0, ["a"])]
+    assert chosen(pairs_of(*taken)) == {"a": "eta", "b": "eta"}
+
+
+def test_fields_without_values_go_by_name_and_graph():
+    part = pairs_of(("flavourLabel", None, "flavour_label", 0, 0, 0.95, []), ("flavourLabel", None, "jetfoldhash", 0, 0, 0.1, []), ("odd", None, "pt", 0, 0, None, []), ("pt", "decimal", "pt", 9, 9, 1.0, []))
+    assert chosen(part) == {"flavourLabel": "flavour_label", "pt": "pt"}
+
+
+def test_types_tell_a_renaming(spark):
+    """mass and eventnumber have the same values here: whole numbers under a name like mass are the eventnumber all the same."""
+    table = jets(spark).withColumn("mass", F.col("eventnumber").cast("double"))
+    dump = lambda name, ids: json.dumps([{"jet_id": i, name: 5000 + 13 * i} for i in ids])
+    dumps = spark.createDataFrame([(1, "p", 1, dump("mass_no", range(1, 9))), (2, "p", 2, dump("eventNumber", range(9, 20)))], "dump_id bigint, producer string, seq_no int, payload string")
+    assert [tuple(r) for r in drift.schema_changes(dumps, table).collect()] == [(2, "mass_no", "renamed")]
+
+
 def test_flooding_prefers_agreement_then_names():
     pairs = pd.DataFrame([("p", "flavourLabel", "whole", q, f) for q, f in (("flavour_label", 0.99), ("jetfoldhash", 0.4), ("pt", 0.0))] + [("q", "x", "decimal", "pt", 0.9), ("q", "x", "decimal", "mass", 0.2)], columns=["producer", "name", "kind", "quantity", "first"])
     score = drift.flood(pairs)
