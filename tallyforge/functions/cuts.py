@@ -17,9 +17,14 @@ _OPERATOR = re.compile(r"^(?:(?P<compare>==|!=|<=|>=|<|>)|(?P<member>in|notin)|%
 _TEXT = re.compile(r"^\s*(?P<variable>[A-Za-z_][\w.]*)\s*(?P<op>(?:%\d+)?(?:==|!=|<=|>=|<|>)|\bnotin\b|\bin\b)\s*(?P<value>.+?)\s*$")
 
 
+def _numbers(op: str, value: object, col: Column, met: Column) -> Column:
+    """``met``, but not for NaN, which is above all numbers for Spark."""
+    return met & ~F.isnan(col) if op in (">", ">=") and isinstance(value, (int, float)) and not isinstance(value, bool) else met
+
+
 @dataclass(frozen=True)
 class Cut:
-    """One condition on one variable. A null value meets no cut, a modulo is never negative (as for floored division)."""
+    """One condition on one variable. A null value meets no cut, NaN only those by ``!=`` and ``notin``, a modulo is never negative (as for floored division)."""
 
     variable: str
     op: str
@@ -56,11 +61,11 @@ class Cut:
         col = F.col(self.variable) if of is None else of
         found = _OPERATOR.match(self.op)
         if found["compare"]:
-            return COMPARE[found["compare"]](col, F.lit(self.value))
+            return _numbers(found["compare"], self.value, col, COMPARE[found["compare"]](col, F.lit(self.value)))
         if found["member"]:
             inside = col.isin(*self.value)
             return inside if self.op == "in" else ~inside
-        return COMPARE[found["than"]](F.pmod(col, F.lit(int(found["modulus"]))), F.lit(self.value))
+        return _numbers(found["than"], self.value, col, COMPARE[found["than"]](F.pmod(col, F.lit(int(found["modulus"]))), F.lit(self.value)))
 
 
 @dataclass(frozen=True)

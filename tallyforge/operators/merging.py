@@ -6,14 +6,12 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.cuts import Cuts
-from tallyforge.functions.randomness import md5_uniform
-from tallyforge.operators.ranking import bucketed_rank
-
-PIECES = 64
+from tallyforge.operators.ranking import random_order
 
 
 def with_label(df: DataFrame, label: int, name: str = "flavour_label", overwrite: bool = False) -> DataFrame:
@@ -32,19 +30,21 @@ def union_components(parts: Mapping[str, DataFrame], name: str = "component") ->
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
-def file_index(df: DataFrame, key: str, rows_per_file: int, seed: object, by: Sequence[str] = (), out: str = "file_no") -> DataFrame:
-    """Adds the number of the output file: rows in random order, ``rows_per_file`` to each file but the last of a group."""
-    keyed = df.withColumns({"__all": F.lit(0), "__u": md5_uniform(seed, key)})
-    placed = bucketed_rank(keyed, ["__all", *by], F.floor(F.col("__u") * PIECES), [F.col("__u"), F.col(key)], "__place")
-    return placed.withColumn(out, F.floor((F.col("__place") - 1) / rows_per_file).cast("int")).drop("__all", "__u", "__place")
+def file_index(df: DataFrame, key: str, rows_per_file: int, seed: object, by: Sequence[str] = (), out: str = "file_no", order: str | None = None) -> DataFrame:
+    """Adds the number of the output file: rows in random order, ``rows_per_file`` to each file but the last of a group.
+
+    ``order`` also keeps the place in the file, by which files are to be sorted when written.
+    """
+    placed = random_order(df.withColumn("__all", F.lit(0)), ["__all", *by], key, seed, "__place")
+    placed = placed.withColumn(out, F.floor((F.col("__place") - 1) / rows_per_file).cast("int"))
+    kept = placed.withColumn(order, F.pmod(F.col("__place") - 1, F.lit(rows_per_file))) if order else placed
+    return kept.drop("__all", "u", "__place")
 
 
 def equal_rows(df: DataFrame, source: str, key: str, seed: object) -> DataFrame:
     """As many random rows of each source as the smallest has."""
-    keyed = df.withColumn("__u", md5_uniform(seed, key))
-    placed = bucketed_rank(keyed, [source], F.floor(F.col("__u") * PIECES), [F.col("__u"), F.col(key)], "__place")
     least = df.groupBy(source).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).scalar()
-    return placed.where(F.col("__place") <= least).drop("__u", "__place")
+    return random_order(df, [source], key, seed, "__place").where(F.col("__place") <= least).drop("u", "__place")
 
 
 def select_elements(array: str, cuts: Cuts, valid: str = "valid") -> Column:
@@ -52,22 +52,35 @@ def select_elements(array: str, cuts: Cuts, valid: str = "valid") -> Column:
     return F.filter(array, lambda e: e[valid] & cuts.element(e))
 
 
-def write_files(df: DataFrame, path: str, file_no: str = "file_no") -> None:
-    """One directory per file number, rewritten alone where it exists: a failed run is resumed by ``missing_files``."""
-    df.write.option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(file_no).parquet(path)
+def write_files(df: DataFrame, path: str, file_no: str = "file_no", by: Sequence[str] = (), order: str | None = None) -> None:
+    """One directory per file number (and group ``by``), rewritten alone where it exists: a failed run is resumed by ``missing_files``.
 
+    A file is written by one task, its rows sorted by ``order``, which is left out.
+    """
+    rows = df.repartition(*by, file_no).sortWithinPartitions(*by, file_no, order).drop(order) if order else df
+    rows.write.option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*by, file_no).parquet(path)
 
-def missing_files(spark: SparkSession, df: DataFrame, path: str, file_no: str = "file_no") -> DataFrame:
-    """The rows of ``df`` whose file does not hold as many rows at ``path`` as it should: all, if nothing is there."""
-    want = df.groupBy(file_no).agg(F.count(F.lit(1)).alias("want"))
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Does anything lie at ``path``, on whatever file system?"""
     try:
-        have = spark.read.parquet(path).groupBy(F.col(file_no).cast("int").alias(file_no)).agg(F.count(F.lit(1)).alias("have"))
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return df
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").head(1))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
         raise
-    bad = want.join(have, file_no, "left").where(~F.col("want").eqNullSafe(F.col("have"))).select(file_no)
-    return df.join(F.broadcast(bad), file_no, "left_semi")
+
+
+def missing_files(spark: SparkSession, df: DataFrame, path: str, file_no: str = "file_no", by: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``df`` whose file does not hold as many rows at ``path`` as it should: all, if nothing is there."""
+    if not exists(spark, path):
+        return df
+    names = [*by, file_no]
+    want = df.groupBy(*names).agg(F.count(F.lit(1)).alias("want"))
+    kinds = dict(df.dtypes)
+    have = spark.read.parquet(path).groupBy(*[F.col(c).cast(kinds[c]).alias(c) for c in names]).agg(F.count(F.lit(1)).alias("have"))
+    bad = want.join(have, names, "left").where(~F.col("want").eqNullSafe(F.col("have"))).select(*names)
+    return df.join(bad, names, "left_semi")
 
 
 def manifest(df: DataFrame, by: Sequence[str], **facts: object) -> str:

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Parts of names of whole-number columns that are no class labels.
-NO_LABELS = ("vertexindex", "parentbarcode", "barcode", "eventnumber", "jetfoldhash")
+# Parts of names of whole-number columns that are no class labels.
+NO_LABELS = ("VertexIndex", "ftagTruthParentBarcode", "barcode", "eventNumber", "jetFoldHash")
 
 
 def _number(c: str | Column) -> Column:
@@ -19,10 +18,15 @@ def _number(c: str | Column) -> Column:
 
 
 def moments(df: DataFrame, group: str, variables: Mapping[str, str | Column] | Sequence[str]) -> DataFrame:
-    """A row per variable: group, variable, n, mean and std (of the population), over values that are numbers and finite."""
+    """A row per variable: group, variable, n, mean and std (of the population), over values that are numbers and finite, and n_infinite, how many are not finite."""
     cols = variables if isinstance(variables, Mapping) else {v: v for v in variables}
-    one = df.agg(*[f(_number(c)).alias(f"{k}{i}") for i, c in enumerate(cols.values()) for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop))])
-    rows = F.array(*[F.struct(F.lit(group).alias("group"), F.lit(v).alias("variable"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i, v in enumerate(cols)])
+    infinite = lambda c: F.count_if(F.abs((F.col(c) if isinstance(c, str) else c).cast("double")) == float("inf"))
+    one = df.agg(
+        *[f(_number(c)).alias(f"{k}{i}") for i, c in enumerate(cols.values()) for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop))],
+        *[infinite(c).alias(f"i{i}") for i, c in enumerate(cols.values())],
+    )
+    names = {"n": "n", "m": "mean", "s": "std", "i": "n_infinite"}
+    rows = F.array(*[F.struct(F.lit(group).alias("group"), F.lit(v).alias("variable"), *[F.col(f"{k}{i}").alias(name) for k, name in names.items()]) for i, v in enumerate(cols)])
     return one.select(F.inline(rows))
 
 
@@ -33,11 +37,11 @@ def nested_moments(df: DataFrame, group: str, array: str, variables: Sequence[st
 
 def pooled(parts: DataFrame, by: Sequence[str] = ("group", "variable")) -> DataFrame:
     """Moments of all rows from moments (n, mean, std) of disjoint parts; parts without rows do not count."""
-    rows = parts.where("n > 0")
-    n, m = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
-    square = F.sum(F.col("n") * (F.col("std") * F.col("std") + F.col("mean") * F.col("mean")))
-    mean = m / n
-    return rows.groupBy(*by).agg(n.alias("n"), mean.alias("mean"), F.sqrt(F.greatest(square / n - mean * mean, F.lit(0.0))).alias("std"))
+    of = Window.partitionBy(*by)
+    rows = parts.where("n > 0").withColumn("__m", F.sum(F.col("n") * F.col("mean")).over(of) / F.sum("n").over(of))
+    away = F.col("mean") - F.col("__m")
+    n, square = F.sum("n"), F.sum(F.col("n") * (F.col("std") * F.col("std") + away * away))
+    return rows.groupBy(*by).agg(n.alias("n"), F.first("__m").alias("mean"), F.sqrt(square / n).alias("std"))
 
 
 def check_moments(table: DataFrame) -> None:
@@ -48,8 +52,8 @@ def check_moments(table: DataFrame) -> None:
 
 
 def label_columns(df: DataFrame) -> list[str]:
-    """Whole-number columns that may be class labels."""
-    return [n for n, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint") and not any(x in n.lower() for x in NO_LABELS)]
+    """Whole-number columns that may be class labels; letter case in names does not count."""
+    return [n for n, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint") and not any(x.lower() in n.lower() for x in NO_LABELS)]
 
 
 def class_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -76,10 +80,3 @@ def as_dict(table: DataFrame) -> dict[str, dict[str, dict[str, float]]]:
     for r in table.collect():  # a row per variable
         out.setdefault(r["group"], {})[r["variable"]] = {"mean": r["mean"], "std": r["std"]}
     return out
-
-
-def subdivided_mean(n: Sequence[float], mean: Sequence[float], std: Sequence[float]) -> tuple[float, float]:
-    """The pooled formula on plain numbers."""
-    total = sum(n)
-    m = sum(a * b for a, b in zip(n, mean, strict=True)) / total
-    return m, math.sqrt(sum(a * ((b - m) ** 2 + c * c) for a, b, c in zip(n, mean, std, strict=True)) / total)

@@ -22,15 +22,15 @@ def reconstruction_tag(name: Column) -> Column:
 
 
 def campaign(tag: Column) -> Column:
-    """Campaign of a tag, the tag itself if unknown."""
+    """Campaign of a tag, the tag itself if unknown; null without a tag."""
     known = F.create_map(*[F.lit(x) for pair in CAMPAIGNS.items() for x in pair])
     return F.coalesce(F.try_element_at(known, tag), tag)
 
 
 def entry_name(name: Column) -> Column:
-    """"id / campaign", the one there is, or the name itself."""
+    """"id / campaign"; where one of them is missing the whole name takes its place, so that different files stay apart; without both, the name."""
     i, c = dataset_id(name), campaign(reconstruction_tag(name))
-    return F.when(i.isNotNull() & c.isNotNull(), F.concat_ws(" / ", i, c)).otherwise(F.coalesce(i, c, name))
+    return F.when(i.isNull() & c.isNull(), name).when(i.isNull(), F.concat_ws(" / ", name, c)).otherwise(F.concat_ws(" / ", i, F.coalesce(c, name)))
 
 
 def sample_sizes(df: DataFrame, by: str) -> DataFrame:

@@ -13,6 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyforge.functions.randomness import md5_uniform
+
+#: Rows that are sorted together.
+BUCKET_ROWS = 100_000
+#: Numbers of a run that one row makes.
+RUN = 10_000
+
 
 def bucketed_rank(df: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[Column], out: str = "rank") -> DataFrame:
     """Adds ``out``, the 1-based position by (``bucket``, ``order``) within ``group``.
@@ -40,3 +47,24 @@ def bucketed_rank(df: DataFrame, group: Sequence[str], bucket: Column, order: Se
         .withColumn(out, F.col("__in") + F.col("__before"))
         .drop("__bucket", "__in", "__before", *[f"__g{i}" for i in range(len(where))])
     )
+
+
+def random_order(df: DataFrame, group: Sequence[str], key: str, seed: object, out: str = "rank", bucket_rows: int | None = None) -> DataFrame:
+    """Adds ``u``, a random number of ``key``, and ``out``, the 1-based place of each row by it within ``group``.
+
+    Groups are cut by ``u`` into as many buckets as the largest may need: rows of all by ``bucket_rows``.
+    """
+    rows = df.withColumn("u", md5_uniform(seed, key))
+    buckets = df.agg(F.ceil(F.count(F.lit(1)) / F.lit(bucket_rows or BUCKET_ROWS))).scalar()
+    return bucketed_rank(rows, group, F.floor(F.col("u") * buckets), [F.col("u"), F.col(key)], out)
+
+
+def numbered(df: DataFrame, first: Column, last: Column, out: str = "i") -> DataFrame:
+    """Each row once for every number from ``first`` to ``last``; none if ``last`` is less.
+
+    Runs of RUN numbers are spread over the partitions first, so that no row and no task makes them all.
+    """
+    runs = df.withColumns({"__first": first.cast("bigint"), "__last": last.cast("bigint")}).where("__first <= __last")
+    runs = runs.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__last") - F.col("__first")) / F.lit(RUN)))))
+    start = F.col("__first") + F.col("__run") * F.lit(RUN)
+    return runs.repartition("__run", *df.columns).withColumn(out, F.explode(F.sequence(start, F.least(F.col("__last"), start + F.lit(RUN - 1))))).drop("__first", "__last", "__run")

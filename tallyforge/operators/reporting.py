@@ -48,10 +48,19 @@ def compact_count(n: Column) -> Column:
 
 
 def name_suffix(*parts: Column) -> Column:
-    """Parts as the end of a file name: anything but letters and digits becomes one underscore."""
-    return F.regexp_replace(F.concat_ws("_", *parts), "[^A-Za-z0-9]+", "_")
+    """Parts as the end of a file name, each after an underscore: anything but letters and digits becomes one, at a part's ends none; empty parts and nulls are left out."""
+    each = [F.when(p != "", F.regexp_replace(F.regexp_replace(p, "[^A-Za-z0-9]+", "_"), "^_|_$", "")) for p in parts]
+    return F.concat(F.lit("_"), F.concat_ws("_", *each))
 
 
-def display_unit(name: str, value: Column) -> Column:
+def display_unit(name: str, value: Column | float) -> Column | float:
     """Momenta and masses in thousands."""
     return value / 1000 if "pt" in name.lower() or "mass" in name.lower() else value
+
+
+def display_range(name: str, bounds: Sequence[float]) -> tuple[float, float]:
+    """First and last edge in the unit of display; open edges give way to their finite neighbours."""
+    finite = [e for e in bounds if abs(e) != float("inf")]
+    if not finite:
+        raise ValueError(f"no finite edge of {name}")
+    return display_unit(name, min(finite)), display_unit(name, max(finite))

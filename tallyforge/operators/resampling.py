@@ -10,22 +10,14 @@ from pyspark.sql.window import Window
 
 from tallyforge.functions.randomness import md5_uniform
 from tallyforge.operators.histograms import Bins, axes, probabilities, with_bins
-from tallyforge.operators.ranking import bucketed_rank
-
-#: Pieces into which the unit interval is cut, so that a class or bin of any size is sorted in parts.
-PIECES = 64
-
-
-def random_rank(df: DataFrame, by: Sequence[str], key: str, seed: object, out: str = "rank", pieces: int = PIECES) -> DataFrame:
-    """Adds ``u`` and the 1-based place of each row in the random order of its group; ``key`` tells rows apart."""
-    with_u = df.withColumn("u", md5_uniform(seed, key))
-    return bucketed_rank(with_u, by, F.floor(F.col("u") * pieces), [F.col("u"), F.col(key)], out)
+from tallyforge.operators.ranking import numbered, random_order
+from tallyforge.session import cut_lineage
 
 
 def cap(df: DataFrame, by: str, caps: dict[object, int], key: str, seed: object) -> DataFrame:
     """At most ``caps[class]`` random rows of each class; -1 keeps all, classes without a cap are left out."""
     limit = F.coalesce(*[F.when(F.col(by) == F.lit(c), F.lit(n if n >= 0 else 2**62)) for c, n in caps.items()])
-    return random_rank(df.where(F.col(by).isin(*caps)), [by], key, seed).where(F.col("rank") <= limit).drop("rank", "u")
+    return random_order(df.where(F.col(by).isin(*caps)), [by], key, seed).where(F.col("rank") <= limit).drop("rank", "u")
 
 
 def check_supply(df: DataFrame, by: str, caps: dict[object, int], fraction: float = 1.0) -> None:
@@ -51,68 +43,79 @@ def check_fraction(fraction: float, method: str) -> str | None:
     return text
 
 
-def bin_quotas(target: DataFrame, draws: int | Column, bins: Bins, seed: object) -> DataFrame:
-    """Bins with quota, floor(draws * p + u): the target's probabilities times the draws, rounded at random."""
-    where = F.concat_ws("|", *axes(bins))
-    return target.select(*axes(bins), "p", F.floor(draws * F.col("p") + md5_uniform(seed, where)).cast("bigint").alias("quota"))
+def bin_quotas(target: DataFrame, draws: int | Column, bins: Bins, seed: object, by: Sequence[str] = ()) -> DataFrame:
+    """Bins with quota, floor(draws * p + u): the target's probabilities times the draws, rounded at random; and the draws.
+
+    ``target`` has a row per bin, or per bin and group ``by``.
+    """
+    where = F.concat_ws("|", *by, *axes(bins))
+    draws = F.lit(draws) if isinstance(draws, int) else draws
+    return target.select(*by, *axes(bins), "p", F.floor(draws * F.col("p") + md5_uniform(seed, where)).cast("bigint").alias("quota"), draws.cast("bigint").alias("draws"))
 
 
-def countup(df: DataFrame, quotas: DataFrame, bins: Bins, key: str, draws: int | Column, seed: object) -> DataFrame:
-    """``key``, bins and copies: the first quota rows of every bin in random order, topped up with repeats.
+def countup(df: DataFrame, quotas: DataFrame, bins: Bins, key: str, seed: object, by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``key``, bins and copies: the first quota rows of every bin in random order, topped up with repeats.
 
-    A bin of n < quota rows gives every row, and the rest of its quota by random repeats of its rows; a bin without
-    rows gives none. If the bins together give fewer than ``draws``, random places among the rows given so far are
-    repeated. More than ``draws``, by the random rounding of the quotas, are left for the caller's cap.
+    Groups ``by`` are drawn on their own, all in one plan. A bin of n < quota rows gives every row, and the rest of its
+    quota by random repeats of its rows; a bin without rows gives none. If the bins of a group together give fewer than
+    its draws, random places among the rows given so far are repeated. More than that, by the random rounding of the
+    quotas, are left for the caller's cap.
     """
-    ranked = random_rank(with_bins(df, bins).select(key, *axes(bins)), axes(bins), key, seed)
-    have = ranked.groupBy(*axes(bins)).agg(F.count(F.lit(1)).alias("have"))
-    need = have.join(quotas.select(*axes(bins), "quota"), axes(bins)).where("quota > 0")
-    # A table of bins: where each bin's places end, and the places of all.
-    ends = F.sum("quota").over(Window.orderBy(*axes(bins)))
-    bounds = need.withColumn("upto", ends).withColumn("total", need.agg(F.sum("quota")).scalar())
-    where = F.concat_ws("|", *axes(bins), "i")
-    own = bounds.where("quota > have").select(*axes(bins), "have", F.explode(F.sequence(F.col("have") + 1, F.col("quota"))).alias("i")).select(
-        *axes(bins), (F.floor(md5_uniform(f"{seed}-bin", where) * F.col("have")) + 1).cast("bigint").alias("rank")
+    cells = [*by, *axes(bins)]
+    binned = with_bins(df, bins).select(key, *cells)
+    have = binned.groupBy(*cells).agg(F.count(F.lit(1)).alias("have"))
+    # A row per bin that has rows and a quota, stored: where the bin's places end, and the places of its group.
+    of = Window.partitionBy(*by)
+    need = have.join(quotas.select(*cells, "quota", "draws"), cells).where("quota > 0")
+    need = cut_lineage(need.withColumns({"upto": F.sum("quota").over(of.orderBy(*axes(bins))), "total": F.sum("quota").over(of), "filled": F.count(F.lit(1)).over(of)}))
+    where = F.concat_ws("|", *cells, "i")
+    own = numbered(need.where("quota > have").select(*cells, "have", "quota"), F.col("have") + 1, F.col("quota")).select(
+        *cells, (F.floor(md5_uniform(f"{seed}-bin", where) * F.col("have")) + 1).cast("bigint").alias("rank")
     )
-    lacking = need.agg(F.greatest(F.lit(draws).cast("bigint") - F.sum("quota"), F.lit(0)).alias("lacking"), F.sum("quota").alias("total")).where("lacking > 0")
-    again = lacking.select("total", F.explode(F.sequence(F.lit(1), F.col("lacking"))).alias("i")).select((F.floor(md5_uniform(f"{seed}-all", "i") * F.col("total")) + 1).alias("place"))
+    lacking = need.where("draws > total").select(*by, "draws", "total", "filled").distinct()
+    # Bins and places meet by blocks as wide as a bin is on average: about two bins for every place.
+    wide = F.greatest(F.floor(F.col("total") / F.col("filled")), F.lit(1))
+    spot = F.concat_ws("|", *by, "i")
+    again = numbered(lacking, F.lit(1), F.col("draws") - F.col("total")).select(*by, (F.floor(md5_uniform(f"{seed}-all", spot) * F.col("total")) + 1).alias("place"), wide.alias("wide"))
+    blocks = F.sequence(F.floor((F.col("upto") - F.col("quota") + 1) / wide), F.floor(F.col("upto") / wide))
+    bounds = need.select(*cells, "have", "quota", "upto", F.explode(blocks).alias("block"))
     inside = (F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("quota"))
-    global_rank = F.col("place") - (F.col("upto") - F.col("quota"))
+    met = again.withColumn("block", F.floor(F.col("place") / F.col("wide"))).join(bounds, [*by, "block"]).where(inside).withColumn("i", (F.col("place") - (F.col("upto") - F.col("quota"))).cast("bigint"))
     # A place beyond the bin's rows is one of its repeats: that of the row it repeats.
-    spot = F.concat_ws("|", *axes(bins), global_rank.cast("string"))
-    rank = F.when(global_rank <= F.col("have"), global_rank).otherwise(F.floor(md5_uniform(f"{seed}-bin", spot) * F.col("have")) + 1)
-    more = again.join(F.broadcast(bounds), inside).select(*axes(bins), rank.cast("bigint").alias("rank"))
-    extra = own.unionByName(more).groupBy(*axes(bins), "rank").agg(F.count(F.lit(1)).alias("extra"))
+    rank = F.when(F.col("i") <= F.col("have"), F.col("i")).otherwise(F.floor(md5_uniform(f"{seed}-bin", where) * F.col("have")) + 1)
+    more = met.select(*cells, rank.cast("bigint").alias("rank"))
+    extra = own.unionByName(more).groupBy(*cells, "rank").agg(F.count(F.lit(1)).alias("extra"))
     return (
-        ranked.join(need, axes(bins))
+        random_order(binned, cells, key, seed)
+        .join(need.select(*cells, "quota"), cells)
         .where(F.col("rank") <= F.col("quota"))
-        .join(extra, [*axes(bins), "rank"], "left")
-        .select(key, *axes(bins), (F.lit(1) + F.coalesce("extra", F.lit(0))).cast("bigint").alias("copies"))
+        .join(extra, [*cells, "rank"], "left")
+        .select(*by, key, *axes(bins), (F.lit(1) + F.coalesce("extra", F.lit(0))).cast("bigint").alias("copies"))
     )
 
 
-def importance_sample(df: DataFrame, ratios: DataFrame, bins: Bins, key: str, draws: Column | int, seed: object) -> DataFrame:
-    """``key``, bins and copies: ``draws`` rows drawn with replacement, each with weight ratio of its bin.
+def importance_sample(df: DataFrame, ratios: DataFrame, bins: Bins, key: str, draws: Column | int, seed: object, by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``key``, bins and copies: ``draws`` rows of each group drawn with replacement, each with weight ratio of its bin.
 
     Weights are equal within a bin, so a bin's share of the draws is n * ratio of the total; draws are spread over
     the bins in proportion, the rest by largest remainder, and within a bin each draw picks a row by its random number.
+    ``draws`` may be a column of ``ratios``, which has a row per bin, or per bin and group.
     """
-    binned = with_bins(df, bins).select(key, *axes(bins))
-    counts = binned.groupBy(*axes(bins)).agg(F.count(F.lit(1)).alias("n"))
-    mass = counts.join(ratios.select(*axes(bins), "ratio"), axes(bins)).withColumn("w", F.round(F.col("n") * F.col("ratio"), 9)).where("w > 0")
+    cells = [*by, *axes(bins)]
+    binned = with_bins(df, bins).select(key, *cells)
+    counts = binned.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"))
+    of = Window.partitionBy(*by)
+    draws = F.lit(draws) if isinstance(draws, int) else draws
+    mass = counts.join(ratios.select(*cells, "ratio", draws.alias("draws")), cells).withColumn("w", F.round(F.col("n") * F.col("ratio"), 9)).where("w > 0")
     # Bins only, no rows: at most as many as the histogram has.
-    exact = mass.withColumn("want", F.lit(draws) * F.col("w") / mass.agg(F.sum("w")).scalar())
-    base = exact.withColumn("base", F.floor("want"))
-    spare = F.lit(draws) - base.agg(F.sum("base")).scalar()
-    place = F.row_number().over(Window.orderBy(F.round(F.col("base") - F.col("want"), 6), *axes(bins)))
-    share = base.withColumn("k", (F.col("base") + F.when(place <= spare, 1).otherwise(0)).cast("int")).where("k > 0")
-    where = F.concat_ws("|", *axes(bins), "i")
-    picks = share.select(*axes(bins), "n", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("i")).withColumn(
-        "rank", (F.floor(md5_uniform(f"{seed}-pick", where) * F.col("n")) + 1).cast("bigint")
-    )
-    ranked = random_rank(binned, axes(bins), key, seed)
-    drawn = picks.groupBy(*axes(bins), "rank").agg(F.count(F.lit(1)).alias("copies"))
-    return ranked.join(drawn, [*axes(bins), "rank"]).select(key, *axes(bins), "copies")
+    exact = mass.withColumn("want", F.col("draws") * F.col("w") / F.sum("w").over(of)).withColumn("base", F.floor("want"))
+    place = F.row_number().over(of.orderBy(F.round(F.col("base") - F.col("want"), 6), *axes(bins)))
+    spare = exact.withColumns({"spare": F.col("draws") - F.sum("base").over(of), "place": place})
+    share = cut_lineage(spare.withColumn("k", (F.col("base") + F.when(F.col("place") <= F.col("spare"), 1).otherwise(0)).cast("bigint")).where("k > 0").select(*cells, "n", "k"))
+    where = F.concat_ws("|", *cells, "i")
+    picks = numbered(share, F.lit(1), F.col("k")).select(*cells, (F.floor(md5_uniform(f"{seed}-pick", where) * F.col("n")) + 1).cast("bigint").alias("rank"))
+    drawn = picks.groupBy(*cells, "rank").agg(F.count(F.lit(1)).alias("copies"))
+    return random_order(binned, cells, key, seed).join(drawn, [*cells, "rank"]).select(*by, key, *axes(bins), "copies")
 
 
 def upsampling(drawn: DataFrame, by: Sequence[str], copies: str = "copies") -> DataFrame:
@@ -139,4 +142,4 @@ def target_probabilities(df: DataFrame, is_target: Column, bins: Bins) -> DataFr
     return hist.withColumn("p", F.col("n") / total)
 
 
-__all__ = ["auto_fraction", "bin_quotas", "cap", "check_fraction", "check_supply", "countup", "importance_sample", "probabilities", "random_rank", "target_probabilities", "upsampling", "validate"]
+__all__ = ["auto_fraction", "bin_quotas", "cap", "check_fraction", "check_supply", "countup", "importance_sample", "probabilities", "random_order", "target_probabilities", "upsampling", "validate"]

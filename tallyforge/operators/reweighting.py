@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.binning import bin_index
 from tallyforge.operators.histograms import Bins, axes, dense
+from tallyforge.session import bounded
 
 TARGETS = ("mean", "min", "max", "uniform")
+#: Most cells of a class whose weights are looked up by place.
+MAX_CELLS = 1_000_000
 
 
 def weight_name(group: str, variables: Sequence[str], class_var: str, target: object, func_name: str | None = None) -> str:
     """Name of the weight column of a reweighting."""
     if isinstance(target, (list, tuple)):
         return "_".join(["weight", group, *variables, "target", *([func_name] if func_name else []), *map(str, target)])
-    aim = "none" if target is None else str(target)
-    return "_".join(["weight", group, *variables, "target", *([func_name] if func_name else []), aim, class_var])
+    aim = ["none"] if target is None else [str(target), class_var]
+    return "_".join(["weight", group, *variables, "target", *([func_name] if func_name else []), *aim])
 
 
 def target_histogram(hist: DataFrame, by: str, target: object, bins: Bins, func: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -65,19 +68,27 @@ def _flat(places: Sequence[Column], bins: Bins) -> Column:
 
 
 def weight_lists(weights: DataFrame, by: str, bins: Bins) -> Column:
-    """All weights as one map from class to the list of its cells' weights, for lookups in nested rows by place."""
+    """All weights as one map from class to the list of its cells' weights, for lookups in nested rows by place.
+
+    The list goes to every task: raises if a class has more than MAX_CELLS cells. Then explode the elements and use ``apply_weights``.
+    """
     cells = 1
     for e in bins.values():
         cells *= len(e) - 1
-    filled = weights.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct(_flat([F.col(b) for b in axes(bins)], bins), "weight"))).alias("m"))
-    lists = filled.select(by, F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("w"))
+    if cells > MAX_CELLS:
+        raise ValueError(f"{cells} cells are too many for lists of weights")
+    # Each class gets every cell, by sorting: looking cells up in a map would compare each with all others.
+    cell = weights.select(by, _flat([F.col(b) for b in axes(bins)], bins).cast("bigint").alias("cell"), "weight")
+    every = weights.select(by).distinct().select(by, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(cells - 1).cast("bigint"))).alias("cell"))
+    full = every.join(cell, [by, "cell"], "left").select(by, F.struct("cell", F.coalesce("weight", F.lit(0.0)).alias("w")).alias("c"))
+    lists = full.groupBy(by).agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["w"]).alias("w"))
     return lists.agg(F.map_from_entries(F.collect_list(F.struct(by, "w")))).scalar()
 
 
 def apply_weights(df: DataFrame, weights: DataFrame, by: str, bins: Bins, out: str) -> DataFrame:
-    """``df`` with the weight of its class and bins, 0 outside the bins. The weight table has a bounded number of rows, classes times bins."""
+    """``df`` with the weight of its class and bins, 0 outside the bins. The weight table, a row per class and filled bin, is broadcast only if it is small."""
     keyed = df.withColumns({b: bin_index(v, e) for b, (v, e) in zip(axes(bins), bins.items(), strict=True)})
-    found = keyed.join(F.broadcast(weights.withColumnRenamed("weight", "__w")), [by, *axes(bins)], "left")
+    found = keyed.join(bounded(weights.withColumnRenamed("weight", "__w")), [by, *axes(bins)], "left")
     return found.withColumn(out, F.coalesce("__w", F.lit(0.0))).drop("__w", *axes(bins))
 
 

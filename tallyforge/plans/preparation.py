@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.binning import edges, subdivide, with_overflow
 from tallyforge.functions.cuts import Cuts
+from tallyforge.functions.precision import half, half_sql
 from tallyforge.functions.randomness import md5_uniform, md5_uniform_sql
 from tallyforge.functions.text import canonical, name_part
 from tallyforge.operators import histograms, merging, normalisation, quality, reporting, resampling, reweighting, splitting
@@ -27,7 +28,9 @@ FLAVOURS = {
     "heavy": Cuts.of([("hadronconeexcltruthlabelid", "in", [4, 5, 54, 55])]),
 }
 COMPONENTS = {f"{r}_{f}": REGIONS[r] + FLAVOURS[f] for r in REGIONS for f in FLAVOURS}
-TARGET, DRAWS, CAP = 0, 1_500, {0: 400, 1: 300, 2: 300, 3: -1}
+TARGET, DRAWS, CAP = 0, 1_500, {0: 400, 1: 300, 2: 300, 3: -1, 4: -1, 5: -1, 6: -1, 7: -1}
+#: Rows from which histograms and estimates are made, if there are more.
+ENOUGH = 1_000_000
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -46,16 +49,18 @@ def _query(sql: str | None = None):
 def _jets(spark: SparkSession, sf: str, *columns: str, where: Column | str | None = None) -> DataFrame:
     """Each jet once. Repeated rows have equal content, so conditions are applied first and reach the scan."""
     rows = read_table(spark, sf, "jets").select("jet_id", *columns)
-    return (rows if where is None else rows.where(where)).distinct()
+    return (rows if where is None else rows.where(where)).dropDuplicates(["jet_id"])
 
 
 def _labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return _jets(spark, sf, "flavour_label", *columns, where="flavour_label between 0 and 3")
+    """The jets with a label of the table flavours (of fixed size)."""
+    known = F.broadcast(read_table(spark, sf, "flavours").select("flavour_label"))
+    return _jets(spark, sf, "flavour_label", *columns, where="flavour_label is not null").join(known, "flavour_label", "left_semi")
 
 
 # --- SQL parts -----------------------------------------------------------------------------------------------------
 J = "j as (select * from (select *, row_number() over (partition by jet_id order by ingested_at) as copy from jets) where copy = 1)"
-L = J + ", l as (select * from j where flavour_label between 0 and 3)"
+L = J + ", l as (select * from j where flavour_label in (select flavour_label from flavours))"
 CANON_SAMPLE = "regexp_replace(lower(sample), '[\\s_-]+', '', 'g')"
 
 
@@ -75,10 +80,11 @@ def _binned(of: str, bins: dict, columns: str = "*") -> str:
 
 
 # --- sources and predicates ----------------------------------------------------------------------------------------
-@_query(f"with {J} select jet_id, pt from j where pt > 50000 and abs_eta <= 2.0 and flavour_label <> 3")
+@_query(f"with {J} select jet_id, pt, mass from j where pt > 50000 and abs_eta <= 2.0 and flavour_label <> 3 and isfinite(mass) and mass >= 5000")
 def cut_compare(spark: SparkSession, sf: str) -> DataFrame:
-    cuts = Cuts.of(["pt > 50000", "abs_eta <= 2.0", "flavour_label != 3"])
-    return _jets(spark, sf, "pt", "abs_eta", "flavour_label", where=cuts.column()).select("jet_id", "pt")
+    """NaN is in no range: masses that are no number meet no lower bound."""
+    cuts = Cuts.of(["pt > 50000", "abs_eta <= 2.0", "flavour_label != 3", "mass >= 5000"])
+    return _jets(spark, sf, "pt", "abs_eta", "flavour_label", "mass", where=cuts.column()).select("jet_id", "pt", "mass")
 
 
 @_query(f"with {J} select jet_id from j where hadronconeexcltruthlabelid in (5, 4) and flavour_label not in (6, 7)")
@@ -173,11 +179,8 @@ def label_assign(spark: SparkSession, sf: str) -> DataFrame:
 @_query(f"""with {J} select jet_id, case hadronconeexcltruthlabelid when 54 then 5 when 55 then 5 when 21 then 0 else hadronconeexcltruthlabelid end as truth,
 list_transform(tracks, lambda t: case t.leptonid when -11 then 11 when -13 then 13 else t.leptonid end) as leptons from j""")
 def transform_ints(spark: SparkSession, sf: str) -> DataFrame:
-    def remap(c: Column, to: dict[int, int]) -> Column:
-        return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in to.items() for x in p]), c), c)
-
     rows = _tracked(spark, sf, "hadronconeexcltruthlabelid").withColumnRenamed("hadronconeexcltruthlabelid", "truth")
-    return rows.select("jet_id", remap(F.col("truth"), {54: 5, 55: 5, 21: 0}).alias("truth"), F.transform("tracks", lambda t: remap(t["leptonid"], {-11: 11, -13: 13})).alias("leptons"))
+    return rows.select("jet_id", tables.remap_ints(F.col("truth"), {54: 5, 55: 5, 21: 0}).alias("truth"), F.transform("tracks", lambda t: tables.remap_ints(t["leptonid"], {-11: 11, -13: 13})).alias("leptons"))
 
 
 @_query(f"with {J} select count(*) as n_rows, count(*) filter (pt > 50000 and abs_eta < 1.5) as n_after_cuts, min(jet_id) as first_id, max(jet_id) as last_id from j")
@@ -223,19 +226,19 @@ def hist_subdivided(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @_query(f"""with {L}, r as (select *, row_number() over (partition by flavour_label order by {md5_uniform_sql('some', 'jet_id')}, jet_id) as rank from l),
-few as (select * from r where rank <= 200), b as ({_binned('few', BINS)}) select flavour_label, b0, b1, count(*) as n from b group by all""")
+few as (select * from r where rank <= {ENOUGH}), b as ({_binned('few', BINS)}) select flavour_label, b0, b1, count(*) as n from b group by all""")
 def hist_limited(spark: SparkSession, sf: str) -> DataFrame:
-    """Histograms from at most 200 random jets of each class."""
-    jets = resampling.random_rank(_labelled(spark, sf, "pt", "abs_eta"), ["flavour_label"], "jet_id", "some").where("rank <= 200")
+    """Histograms from at most ENOUGH random jets of each class."""
+    jets = resampling.random_order(_labelled(spark, sf, "pt", "abs_eta"), ["flavour_label"], "jet_id", "some").where(F.col("rank") <= ENOUGH)
     return histograms.histogram(jets, ["flavour_label"], BINS)
 
 
-@_query(f"""with {J}, t as (select count(*) as n from j), s as (select pt, abs_eta from j, t where {md5_uniform_sql('est', 'jet_id')} < 500.0 / n)
+@_query(f"""with {J}, t as (select count(*) as n from j), s as (select pt, abs_eta from j, t where {md5_uniform_sql('est', 'jet_id')} < {ENOUGH}.0 / n)
 select round(count(*) filter (pt > 50000 and abs_eta < 1.5) / count(*) * (select n from t), 6) as rows from s""")
 def estimate_available(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows that meet cuts, estimated from about 500."""
+    """Rows that meet cuts, estimated from about ENOUGH (exact if there are fewer)."""
     cuts = Cuts.of(["pt > 50000", "abs_eta < 1.5"]).column()
-    return tables.estimated_rows(_jets(spark, sf, "pt", "abs_eta"), cuts, 500, "jet_id", "est").withColumn("rows", F.round("rows", 6))
+    return tables.estimated_rows(_jets(spark, sf, "pt", "abs_eta"), cuts, ENOUGH, "jet_id", "est").withColumn("rows", F.round("rows", 6))
 
 
 # --- resampling ----------------------------------------------------------------------------------------------------
@@ -256,7 +259,7 @@ def _quotas(jets: DataFrame) -> DataFrame:
 
 @_query(f"with {_QUOTAS} select b0, b1, round(p, 9) as p, quota from q")
 def countup_targets(spark: SparkSession, sf: str) -> DataFrame:
-    return _quotas(_labelled(spark, sf, "pt", "abs_eta")).withColumn("p", F.round("p", 9))
+    return _quotas(_labelled(spark, sf, "pt", "abs_eta")).select("b0", "b1", F.round("p", 9).alias("p"), "quota")
 
 
 _RANKED = f"r as (select jet_id, b0, b1, row_number() over (partition by b0, b1 order by {md5_uniform_sql('up', 'jet_id')}, jet_id) as rank from b where flavour_label = 1)"
@@ -274,7 +277,7 @@ drawn as (select jet_id, b0, b1, 1 + coalesce(extra, 0) as copies from r join ne
 
 def _countup(spark: SparkSession, sf: str) -> DataFrame:
     jets = _labelled(spark, sf, "pt", "abs_eta")
-    return resampling.countup(jets.where("flavour_label = 1"), _quotas(jets), BINS, "jet_id", F.lit(DRAWS), "up")
+    return resampling.countup(jets.where("flavour_label = 1"), _quotas(jets), BINS, "jet_id", "up")
 
 
 @_query(f"with {_COUNTUP} select * from drawn")
@@ -380,16 +383,16 @@ d as (select c.leptonid, g.b0, coalesce(n, 0) as n from (select distinct leptoni
 w as (select leptonid, b0, case when min(n) over (partition by b0) = 0 then 0.0 else avg(n) over (partition by b0) / n end as weight from d)"""
 
 
-@_query(f"""with {_TRACKS} select jet_id, round(sum(case when valid then coalesce(weight, 0) else 0 end), 6) as total_weight
-from b left join w using (leptonid, b0) group by jet_id""")
+@_query(f"""with {_TRACKS}, x as (select jet_id, sum(case when valid then coalesce(weight, 0) else 0 end) as total from b left join w using (leptonid, b0) group by jet_id)
+select jet_id, round(coalesce(total, 0), 6) as total_weight from j left join x using (jet_id)""")
 def rw_apply_nested(spark: SparkSession, sf: str) -> DataFrame:
     jets = _tracked(spark, sf)
     hist = reweighting.nested_histogram(jets, "tracks", "leptonid", TRACK_BINS)
     weights = reweighting.class_weights(hist, reweighting.target_histogram(hist, "leptonid", "mean", TRACK_BINS), "leptonid", TRACK_BINS)
     lists = reweighting.weight_lists(weights, "leptonid", TRACK_BINS)
-    each = reweighting.nested_weights(jets.where(F.size("tracks") > 0), "tracks", lists, "leptonid", TRACK_BINS, "weights")
+    each = reweighting.nested_weights(jets, "tracks", lists, "leptonid", TRACK_BINS, "weights")
     total = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)
-    return each.select("jet_id", F.round(total, 6).alias("total_weight"))
+    return each.select("jet_id", F.round(F.coalesce(total, F.lit(0.0)), 6).alias("total_weight"))
 
 
 # --- merging -------------------------------------------------------------------------------------------------------
@@ -421,18 +424,18 @@ def equal_rows(spark: SparkSession, sf: str) -> DataFrame:
     return merging.equal_rows(jets, "sample", "jet_id", "equal")
 
 
-@_query(f"""with {J} select jet_id, pt, cast(round(eta, 2) as float) as eta, mass from j""")
+@_query(f"""with {J} select jet_id, pt, {half_sql('eta')} as eta, {half_sql('abs_eta')} as abs_eta, mass from j""")
 def precision_policy(spark: SparkSession, sf: str) -> DataFrame:
-    """Momenta, energies and masses keep their precision; other numbers keep two digits."""
-    keep = lambda c: any(x in c.lower() for x in ("pt", "energy", "mass"))
-    return _jets(spark, sf, "pt", "eta", "mass").select("jet_id", *[F.col(c) if keep(c) else F.round(F.col(c), 2).cast("float").alias(c) for c in ("pt", "eta", "mass")])
+    """Momenta, energies and masses keep their precision; other numbers get half precision."""
+    names = ("pt", "eta", "abs_eta", "mass")
+    return _jets(spark, sf, *names).select("jet_id", *[F.col(c) if tables.full_precision(c) else half(c).alias(c) for c in names])
 
 
 # --- normalisation -------------------------------------------------------------------------------------------------
 def _moment_sql(variables: list[str], of: str, group: str, digits: int) -> str:
     return " union all ".join(
-        f"select '{group}' as \"group\", '{v}' as variable, count(x) as n, round(avg(x), {digits}) as mean, round(stddev_pop(x), {digits}) as std from "
-        f"(select cast({c} as double) as x from {of}) where isfinite(x)"
+        f"select '{group}' as \"group\", '{v}' as variable, count(x) filter (isfinite(x)) as n, round(avg(x) filter (isfinite(x)), {digits}) as mean, "
+        f"round(stddev_pop(case when isfinite(x) then x end), {digits}) as std, count(*) filter (isinf(x)) as n_infinite from (select cast({c} as double) as x from {of})"
         for v, c in ((v.rpartition(".")[2], v) for v in variables)
     )
 
@@ -482,16 +485,26 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- checks and reports --------------------------------------------------------------------------------------------
-_NAMES = """(select jet_id, campaign, 'group.' || cast(600000 + jetfoldhash as varchar) || '.py8.e8514_r' || cast(13140 + eventnumber % 8 as varchar) || '.h5' as name from j)"""
+_TAGS = list(quality.CAMPAIGNS)
+_NAMES = f"""(select 'group.' || case when jetfoldhash % 4 in (0, 1) then cast(600000 + jetfoldhash as varchar) || '.' else '' end || 'py8.e8514' ||
+case when jetfoldhash % 4 in (0, 2) then '_' || {_TAGS}[cast(eventnumber % {len(_TAGS)} as int) + 1] else '' end || '.h5' as name from j)"""
 
 
 def _named(spark: SparkSession, sf: str) -> DataFrame:
-    name = F.concat(F.lit("group."), (600000 + F.col("jetfoldhash")).cast("string"), F.lit(".py8.e8514_r"), (13140 + F.col("eventnumber") % 8).cast("string"), F.lit(".h5"))
-    return _jets(spark, sf, "campaign", "jetfoldhash", "eventnumber").select("jet_id", "campaign", name.alias("name"))
+    """Names of delivered files made of the jets' columns: every known tag, and names without id or tag."""
+    form = F.col("jetfoldhash") % 4
+    number = F.when(form.isin(0, 1), F.concat((600000 + F.col("jetfoldhash")).cast("string"), F.lit("."))).otherwise("")
+    tag = F.when(form.isin(0, 2), F.concat(F.lit("_"), F.get(F.array(*map(F.lit, _TAGS)), (F.col("eventnumber") % len(_TAGS)).cast("int")))).otherwise("")
+    return _jets(spark, sf, "jetfoldhash", "eventnumber").select(F.concat(F.lit("group."), number, F.lit("py8.e8514"), tag, F.lit(".h5")).alias("name"))
+
+
+_CAMPAIGN = " ".join(f"when '{t}' then '{c}'" for t, c in quality.CAMPAIGNS.items())
 
 
-@_query(f"""with {J}, n as {_NAMES}, x as (select *, regexp_extract(name, '\\.(\\d{{6}})\\.', 1) as dsid, regexp_extract(name, '_(r\\d+)', 1) as tag from n)
-select dsid, tag, dsid || ' / ' || case tag when 'r13144' then 'MC20d' when 'r13145' then 'MC20e' else tag end as entry, count(*) as n from x group by all""")
+@_query(f"""with {J}, n as {_NAMES}, x as (select name, nullif(regexp_extract(name, '\\.(\\d{{6}})\\.', 1), '') as dsid, nullif(regexp_extract(name, '_(r\\d+)', 1), '') as tag from n),
+y as (select *, case tag {_CAMPAIGN} else tag end as campaign from x)
+select dsid, tag, case when dsid is null and campaign is null then name when dsid is null then name || ' / ' || campaign else dsid || ' / ' || coalesce(campaign, name) end as entry, count(*) as n
+from y group by all""")
 def dsid_parse(spark: SparkSession, sf: str) -> DataFrame:
     name = F.col("name")
     return (
@@ -549,11 +562,11 @@ def stitching_hist(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query(f"""with {J}, c as (select campaign, count(*) as n, round(avg(cast(pt as double)) / 1000, 3) as mean_pt from j group by campaign)
 select campaign, case when n >= 1000 then regexp_replace(printf('%.3f', n / 1000), '\\.?0+$', '') || 'k' else cast(n as varchar) end as caption,
-regexp_replace('pt_' || campaign, '[^A-Za-z0-9]+', '_', 'g') as suffix, mean_pt from c""")
+'_pt_' || trim(regexp_replace(campaign, '[^A-Za-z0-9]+', '_', 'g'), '_') as suffix, mean_pt from c""")
 def plot_captions(spark: SparkSession, sf: str) -> DataFrame:
     counts = _jets(spark, sf, "campaign", "pt").groupBy("campaign").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("pt").cast("double")).alias("pt"))
     return counts.select(
-        "campaign", reporting.compact_count(F.col("n")).alias("caption"), reporting.name_suffix(F.lit("pt"), F.col("campaign")).alias("suffix"), F.round(reporting.display_unit("pt", F.col("pt")), 3).alias("mean_pt")
+        "campaign", reporting.compact_count(F.col("n")).alias("caption"), reporting.name_suffix(F.lit("pt"), F.lit(""), F.col("campaign")).alias("suffix"), F.round(reporting.display_unit("pt", F.col("pt")), 3).alias("mean_pt")
     )
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.binning import bin_index, edges, subdivide, with_overflow
 from tallyforge.functions.cuts import Cut, Cuts
+from tallyforge.functions.precision import half
 from tallyforge.functions.randomness import hash_uniform, md5_uniform
-from tallyforge.operators import histograms, interpolation, merging, normalisation, quality, reporting, resampling, reweighting, splitting
+from tallyforge.operators import histograms, interpolation, merging, normalisation, quality, ranking, reporting, resampling, reweighting, splitting
 
 
 # --- cuts ----------------------------------------------------------------------------------------------------------
@@ -23,6 +24,32 @@ def test_cut(spark, cut, want):
     assert sorted(r["x"] for r in df.where(Cuts.of([cut]).column()).collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("cut", ["x > 5", "x >= 5", "x < 5", "x <= 5", "x == 5", "x %4> 1", "x %4>= 1", "x %4< 3", ("x", "in", [5.0])])
+def test_nan_is_in_no_range(spark, cut):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (6.0,), (5.0,), (2.0,), (None,)], "x double")
+    got = [r["x"] for r in df.where(Cuts.of([cut]).column()).collect()]
+    assert got and not any(np.isnan(got))
+    nested = df.select(F.array(F.struct("x")).alias("t")).select(F.filter("t", lambda e: Cuts.of([cut]).element(e)).alias("k"))
+    assert not any(np.isnan(e["x"]) for r in nested.collect() for e in r["k"])
+
+
+def test_nan_is_unequal(spark):
+    df = spark.createDataFrame([(float("nan"),), (5.0,)], "x double")
+    for cut in ("x != 5", ("x", "notin", [5.0]), "x %4!= 1"):
+        assert df.where(Cuts.of([cut]).column()).count() == 1
+    assert spark.createDataFrame([("b",)], "x string").where(Cuts.of([("x", ">", "a")]).column()).count() == 1
+
+
+def test_half_precision_is_numpys(spark):
+    rng = np.random.default_rng(5)
+    xs = [*rng.normal(0, 3, 2000), *(2.0 ** rng.uniform(-27, 17, 2000)), *[s * 2.0**k for k in range(-26, 17) for s in (1, -1)], 0.0, 65519.9, 65520.0, -70000.0, 1 + 2.0**-11, 1 + 3 * 2.0**-11, np.inf, -np.inf]
+    got = [r["y"] for r in spark.createDataFrame([(float(x),) for x in xs], "x double").coalesce(1).select(half("x").alias("y")).collect()]
+    with np.errstate(over="ignore"):
+        assert got == np.array(xs).astype(np.float16).astype(float).tolist()
+    rest = spark.createDataFrame([(None,), (float("nan"),)], "x double").coalesce(1).select(half("x").alias("y")).collect()
+    assert rest[0]["y"] is None and np.isnan(rest[1]["y"])
+
+
 def test_cut_algebra(spark):
     a, b = Cuts.of(["pt > 20", "eta < 2.5"]), Cuts.of([("eventNumber", "%10<=", 7)])
     assert sum([a, b, Cuts()]).variables == ["pt", "eta", "eventNumber"]
@@ -78,7 +105,7 @@ def test_countup_follows_the_target(spark):
     quotas = resampling.bin_quotas(target, F.lit(40), bins, "s")
     want = {r["b0"]: r["quota"] for r in quotas.collect()}
     assert want[0] in (30, 31) and want[1] in (10, 11)
-    drawn = resampling.countup(df.where("c = 1"), quotas, bins, "id", 40, "s")
+    drawn = resampling.countup(df.where("c = 1"), quotas, bins, "id", "s")
     assert {r["b0"]: r["n"] for r in drawn.groupBy("b0").agg(F.sum("copies").alias("n")).collect()} == want
     stats = resampling.upsampling(drawn, []).first()
     assert stats["unique_rows"] == 8 and stats["written"] == sum(want.values())
@@ -87,7 +114,7 @@ def test_countup_follows_the_target(spark):
 def test_countup_fills_up_from_what_it_has(spark):
     df, bins = classes(spark)
     target = resampling.target_probabilities(df, F.col("c") == 0, bins)
-    drawn = resampling.countup(df.where("c = 2"), resampling.bin_quotas(target, F.lit(40), bins, "s"), bins, "id", 40, "s")
+    drawn = resampling.countup(df.where("c = 2"), resampling.bin_quotas(target, F.lit(40), bins, "s"), bins, "id", "s")
     assert drawn.agg(F.sum("copies")).first()[0] == 40 and drawn.count() == 1
 
 
@@ -99,6 +126,47 @@ def test_importance_sample(spark):
     assert sum(got.values()) == 101 and abs(got[0] - 75.75) < 1 and drawn.count() <= 8
 
 
+def test_groups_are_drawn_in_one_plan(spark):
+    """Each group as if it were alone: quotas, draws, rows to repeat."""
+    df, bins = classes(spark)
+    rows = df.where("c > 0").withColumn("g", F.concat(F.lit("g"), "c"))
+    target = resampling.target_probabilities(df, F.col("c") == 0, bins)
+    draws = spark.createDataFrame([("g1", 40), ("g2", 25)], "g string, d int")
+    quotas = resampling.bin_quotas(target.crossJoin(draws), F.col("d"), bins, "s", ["g"])
+    out = resampling.countup(rows, quotas, bins, "id", "s", ["g"]).groupBy("g").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    want = {r["g"]: r["n"] for r in quotas.groupBy("g").agg(F.greatest(F.sum("quota"), F.first("draws")).alias("n")).collect()}
+    assert {r["g"]: (r["n"], r["rows"]) for r in out} == {"g1": (want["g1"], 8), "g2": (25, 1)}
+    ratios = target.crossJoin(draws).withColumn("ratio", F.col("p"))
+    got = resampling.importance_sample(rows, ratios, bins, "id", F.col("d"), "s", ["g"]).groupBy("g").agg(F.sum("copies").alias("n")).collect()
+    assert {r["g"]: r["n"] for r in got} == {"g1": 40, "g2": 25}
+
+
+def test_repeats_of_many_bins(spark):
+    """Places that are drawn again find their bins, of very uneven quotas."""
+    rng = np.random.default_rng(2)
+    xs = [float(b) + 0.5 for b in range(40) for _ in range(int(rng.integers(1, 30)))]
+    df = spark.createDataFrame(list(enumerate(xs)), "id int, x double")
+    bins = {"x": [float(i) for i in range(41)]}
+    p = rng.dirichlet(np.full(40, 0.3))
+    target = spark.createDataFrame([(i, float(v)) for i, v in enumerate(p)], "b0 int, p double").where("b0 % 3 > 0")
+    drawn = resampling.countup(df, resampling.bin_quotas(target, F.lit(3000), bins, "s"), bins, "id", "s")
+    assert drawn.agg(F.sum("copies")).first()[0] == 3000 and drawn.where("b0 % 3 = 0").count() == 0
+
+
+def test_order_in_small_buckets(spark):
+    df = spark.range(500).withColumn("g", F.col("id") % 3)
+    places = [{r["id"]: r["rank"] for r in ranking.random_order(df, ["g"], "id", "s", bucket_rows=n).collect()} for n in (10, 100_000)]
+    assert places[0] == places[1] and sorted(v for k, v in places[0].items() if k % 3 == 0) == list(range(1, 168))
+    assert ranking.random_order(df.limit(0), ["g"], "id", "s").count() == 0
+
+
+def test_numbered(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "RUN", 7)
+    df = spark.createDataFrame([("a", 3, 30), ("b", 5, 5), ("c", 5, 4), ("d", 1, None)], "k string, a int, b int")
+    got = ranking.numbered(df, F.col("a"), F.col("b")).collect()
+    assert sorted((r["k"], r["i"]) for r in got) == [*[("a", i) for i in range(3, 31)], ("b", 5)]
+
+
 def test_cap_and_supply(spark):
     df, _ = classes(spark)
     assert {r["c"]: r["count"] for r in resampling.cap(df, "c", {0: 3, 1: -1}, "id", "s").groupBy("c").count().collect()} == {0: 3, 1: 8}
@@ -164,7 +232,7 @@ def test_nested_weights(spark):
 def test_weight_names():
     assert reweighting.weight_name("jets", ["pt", "eta"], "flavour", "mean") == "weight_jets_pt_eta_target_mean_flavour"
     assert reweighting.weight_name("jets", ["pt"], "flavour", [0, 1], "sqrt") == "weight_jets_pt_target_sqrt_0_1"
-    assert reweighting.weight_name("jets", ["pt"], "flavour", None) == "weight_jets_pt_target_none_flavour"
+    assert reweighting.weight_name("jets", ["pt"], "flavour", None) == "weight_jets_pt_target_none" and reweighting.weight_name("jets", ["pt"], "flavour", 0) == "weight_jets_pt_target_0_flavour"
 
 
 # --- merging and splitting -----------------------------------------------------------------------------------------
@@ -223,13 +291,14 @@ def test_pooled_moments(spark):
     parts = spark.createDataFrame([("g", "v", 100, 3.0, 1.0), ("g", "v", 200, 6.0, 5.0), ("g", "v", 0, 0.0, 0.0)], '`group` string, variable string, n int, mean double, std double')
     got = normalisation.pooled(parts).first()
     assert got["mean"] == 5 and got["std"] == pytest.approx(4.358898943540674)
-    assert normalisation.subdivided_mean([100, 200], [3, 6], [1, 5]) == (5, pytest.approx(4.358898943540674))
+    far = parts.withColumn("mean", F.col("mean") + 1e9)
+    assert normalisation.pooled(far).first()["std"] == pytest.approx(4.358898943540674)
 
 
 def test_moments_skip_what_is_no_number(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (float("inf"),), (None,)], "x double")
     got = normalisation.moments(df, "jets", ["x"]).first()
-    assert (got["n"], got["mean"], got["std"]) == (2, 2.0, 1.0)
+    assert (got["n"], got["mean"], got["std"], got["n_infinite"]) == (2, 2.0, 1.0, 1)
     assert normalisation.as_dict(normalisation.moments(df, "jets", ["x"])) == {"jets": {"x": {"mean": 2.0, "std": 1.0}}}
     normalisation.check_moments(normalisation.moments(df, "jets", ["x"]))
     for bad in (df.limit(1), df.where("x is null")):
@@ -251,7 +320,8 @@ def test_class_counts_and_weights(spark):
 def test_names(spark):
     names = ["mc.user.601589.e8514_r13144.h5", "x.410470.y", "a_r99", "plain"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    assert [r[0] for r in df.select(quality.entry_name(F.col("n"))).collect()] == ["601589 / MC20d", "410470", "r99", "plain"]
+    assert [r[0] for r in df.select(quality.entry_name(F.col("n"))).collect()] == ["601589 / MC20d", "410470 / x.410470.y", "a_r99 / r99", "plain"]
+    assert spark.createDataFrame([("user.sample.no_dsid_r13167.h5",)], "n string").select(quality.entry_name(F.col("n"))).first()[0] == "user.sample.no_dsid_r13167.h5 / MC20a"
 
 
 def test_sizes(spark):
@@ -272,6 +342,11 @@ def test_reports(spark):
     ns = [0, 999, 1_000, 1_500, 100_000, 123_456, 10_000_000, 168_968_784, 1_234_567]
     df = spark.createDataFrame([(n,) for n in ns], "n int").coalesce(1)
     assert [r[0] for r in df.select(reporting.compact_count(F.col("n"))).collect()] == ["0", "999", "1k", "1.5k", "100k", "123.456k", "10M", "168.969M", "1.23457M"]
+    parts = spark.createDataFrame([("pt", "(low)", ""), ("pT-x", None, "a  b")], "a string, b string, c string").coalesce(1)
+    assert [r[0] for r in parts.select(reporting.name_suffix(F.col("a"), F.col("b"), F.col("c"))).collect()] == ["_pt_low", "_pT_x_a_b"]
+    assert reporting.display_range("pt_btagJes", [20_000, 250_000]) == (20, 250) and reporting.display_range("abs_eta", [-np.inf, 0, 2.5, np.inf]) == (0, 2.5)
+    with pytest.raises(ValueError):
+        reporting.display_range("x", [-np.inf, np.inf])
     xs = spark.createDataFrame([(0, x) for x in (-5.0, 0.0, 0.4, 9.99, 50.0, float("nan"), None)], "c int, x double")
     assert sorted((r["bin"], r["n"]) for r in reporting.plot_histogram(xs, ["c"], "x", 0, 10, 10).collect()) == [(0, 3), (9, 2)]
 

@@ -27,6 +27,12 @@ def rows(names, data):
     return sorted(repr(tuple(plain(r[i]) for i in order)) for r in data)
 
 
+@pytest.fixture(scope="module")
+def data():
+    """Larger than for other tests: some faults show in few rows."""
+    return os.environ.get("TEST_SQL_DIR", "/root/testdata/sf0.01")
+
+
 @pytest.fixture(scope="module")
 def duck(data):
     c = duckdb.connect()
