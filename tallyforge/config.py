@@ -6,9 +6,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from tallyforge.functions.binning import edges
+from tallyforge.functions.binning import edges, with_overflow
 from tallyforge.functions.cuts import Cut, Cuts
 from tallyforge.operators.resampling import validate
+from tallyforge.operators.reweighting import TARGETS, weight_name
 
 SPLITS = ("train", "val", "test")
 
@@ -34,14 +35,35 @@ class Resampling:
     target: str | None = None
     bins: Mapping[str, list[float]] = field(default_factory=dict)
     upscale: int | None = None
-    fraction: float | str | None = None
+    fraction: float | str | None = 1.0
+    pieces: tuple[tuple[int, ...], ...] = ()
 
     def __post_init__(self) -> None:
         validate(self.method, self.upscale)
+        if not (self.fraction in (None, "auto") or (isinstance(self.fraction, (int, float)) and self.fraction > 0)):
+            raise ValueError(f"sampling_fraction must be auto or positive, not {self.fraction!r}")
         if self.method in ("pdf", "countup") and (not self.target or not self.bins):
             raise ValueError(f"method {self.method} needs a target and variables")
 
 
+@dataclass(frozen=True)
+class Reweighting:
+    """Weights that bring the classes' histograms of some variables to a target."""
+
+    group: str
+    bins: Mapping[str, list[float]]
+    class_var: str
+    target: object
+
+    def __post_init__(self) -> None:
+        if self.target is None or not (isinstance(self.target, (int, list, tuple)) or self.target in TARGETS):
+            raise ValueError(f"class_target must be a class, a list of classes or one of {TARGETS}, not {self.target!r}")
+
+    @property
+    def name(self) -> str:
+        return weight_name(self.group, list(self.bins), self.class_var, self.target)
+
+
 @dataclass(frozen=True)
 class Preparation:
     """All that a run needs for one split."""
@@ -57,6 +79,11 @@ class Preparation:
     nested_cuts: Mapping[str, Cuts]
     renames: Mapping[str, str]
     ints: Mapping[str, Mapping[int, int]] = field(default_factory=dict)
+    equal: Mapping[str, bool] = field(default_factory=dict)
+    reweightings: tuple[Reweighting, ...] = ()
+    estimates: Mapping[str, int] = field(default_factory=dict)
+    merge_test_samples: bool = False
+    resume: bool = False
 
     @property
     def labels(self) -> dict[str, int]:
@@ -90,24 +117,29 @@ def _quota(block: Mapping, split: str) -> int:
     return int(block.get(f"num_jets_{split}", -1 if train == -1 else train // 10))
 
 
-def _check_supported(config: Mapping) -> None:
-    """Raises on keys whose work no stage does, so that none is passed over in silence."""
-    block = config.get("resampling") or {}
-    wanted = {
-        "reweighting": config.get("reweighting") or block.get("reweighting"),
-        "resume": config.get("resume"),
-        "sampling_fraction": block.get("sampling_fraction") not in (None, "auto", 1),
-        "equal_jets": any(s.get("equal_jets") and not isinstance(s["pattern"], str) and len(s["pattern"]) > 1 for s in config["samples"]),
-    }
-    if keys := [k for k, v in wanted.items() if v]:
-        raise NotImplementedError(f"no stage does the work of {keys}")
+def _reweightings(config: Mapping) -> tuple[Reweighting, ...]:
+    block = config.get("reweighting") or {}
+    out = []
+    for r in block.get("reweights") or ():
+        bins = {v: edges(r["bins"][v]) for v in r["reweight_vars"]}
+        out.append(Reweighting(r["group"], {v: with_overflow(e) if r.get("add_overflow", True) else e for v, e in bins.items()}, r["class_var"], r.get("class_target")))
+    return tuple(out)
+
+
+def _estimates(config: Mapping) -> dict[str, int]:
+    """Most rows for histograms, moments, distributions and weights; without an own number all rows are used."""
+    block = config.get("global") or {}
+    found = {k: block.get(f"num_jets_estimate_{k}") for k in ("hist", "norm", "plotting")} | {"weights": (config.get("reweighting") or {}).get("num_jets_estimate")}
+    for k, n in found.items():
+        if n is not None and n <= 0:
+            raise ValueError(f"the number of rows for {k} must be positive, not {n}")
+    return {k: n for k, n in found.items() if n is not None}
 
 
 def parse(config: Mapping, split: str = "train") -> Preparation:
     """Checked objects for one split. Regions, resampling and the selection of variables do not apply to the test split."""
     if split not in SPLITS:
         raise ValueError(f"unknown split {split!r}")
-    _check_supported(config)
     test = split == "test"
     flavours = {f["name"]: Cuts.of(f["cuts"]) for f in config["flavours"]}
     samples = {s["name"]: tuple([s["pattern"]] if isinstance(s["pattern"], str) else s["pattern"]) for s in config["samples"]}
@@ -115,7 +147,7 @@ def parse(config: Mapping, split: str = "train") -> Preparation:
     block = config.get("resampling") or {}
     bins = {v: edges(b["bins"]) for v, b in (block.get("variables") or {}).items()}
     method = None if test else block.get("method")
-    resampling = Resampling(None if method == "none" else method, block.get("target"), {} if test else bins, block.get("upscale_pdf"), block.get("sampling_fraction"))
+    resampling = Resampling(None if method == "none" else method, block.get("target"), {} if test else bins, block.get("upscale_pdf"), block.get("sampling_fraction", 1.0), tuple(tuple(int(piece[2]) for piece in b["bins"]) for b in (block.get("variables") or {}).values()))
     cuts = Cuts.of((config.get("global_cuts") or {}).get("common")) + Cuts.of((config.get("global_cuts") or {}).get(split))
     if not test:
         cuts += Cuts(tuple(Cut(v, op, e) for v, b in bins.items() for op, e in ((">", b[0]), ("<", b[-1]))))
@@ -130,6 +162,8 @@ def parse(config: Mapping, split: str = "train") -> Preparation:
             if f not in flavours:
                 raise ValueError(f"unknown flavour {f!r}")
             own = cuts + flavours[f] + (Cuts() if test else regions[c["region"]])
+            if not isinstance(c.get("num_jets"), int):
+                raise ValueError(f"num_jets of {c['region']} must be a whole number")
             components.append(Component(c["region"], c["sample"], f, own, _quota(c, split)))
     if resampling.method:
         _check_targets(components, resampling.target)
@@ -137,13 +171,17 @@ def parse(config: Mapping, split: str = "train") -> Preparation:
     variables = {g: tuple(dict.fromkeys([*v.get("inputs", ()), *v.get("labels", ()), *(bins if g == "jets" else ()), *(() if g == "jets" else ("valid",))])) for g, v in config["variables"].items()}
     nested = {g: Cuts.of(v["selection"]) for g, v in config["variables"].items() if v.get("selection")}
     transform = config.get("transform") or {}
-    return Preparation(split, samples, flavours, tuple(components), resampling, variables, test, config.get("num_jets_per_output_file"), nested, transform.get("variable_map") or {}, transform.get("ints_map") or {})
+    several = {s["name"]: s.get("equal_jets", True) and len(samples[s["name"]]) > 1 for s in config["samples"]}
+    return Preparation(
+        split, samples, flavours, tuple(components), resampling, variables, test, config.get("num_jets_per_output_file"), nested, transform.get("variable_map") or {}, transform.get("ints_map") or {},
+        several, _reweightings(config), _estimates(config), bool((config.get("global") or {}).get("merge_test_samples")), bool(config.get("resume")),
+    )
 
 
 def _check_targets(components: list[Component], target: str | None) -> None:
     for region in {c.region for c in components}:
-        if sum(c.flavour == target for c in components if c.region == region) < 1:
-            raise AssertionError(f"no target {target!r} in region {region}")
+        if sum(c.flavour == target for c in components if c.region == region) != 1:
+            raise AssertionError(f"not exactly one target {target!r} in region {region}")
 
 
 def _check_ratios(components: list[Component]) -> None:

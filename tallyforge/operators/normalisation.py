@@ -62,6 +62,15 @@ def class_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     return df.select(F.inline(each)).where("label is not null").groupBy("variable", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def nested_class_counts(df: DataFrame, array: str, no_labels: Sequence[str] = (), valid: str = "valid") -> DataFrame:
+    """``class_counts`` of the whole-number fields of the valid elements of an array of structs; variables are named "array.field"."""
+    each = df.select(F.explode(array).alias("e")).where(F.col(f"e.{valid}")).select("e.*")
+    labels = [c for c in label_columns(each) if c not in no_labels]
+    if not labels:
+        return class_counts(each.withColumn("none", F.lit(None).cast("bigint")), ["none"])
+    return class_counts(each, labels).withColumn("variable", F.concat(F.lit(f"{array}."), "variable"))
+
+
 def merge_counts(a: DataFrame, b: DataFrame) -> DataFrame:
     """Counts of both, label by label."""
     return a.unionByName(b).groupBy("variable", "label").agg(F.sum("n").alias("n"))

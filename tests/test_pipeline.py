@@ -121,9 +121,9 @@ def test_yaml_and_arguments(tmp_path):
     with pytest.raises(FileNotFoundError):
         load_yaml(tmp_path / "none.yaml")
     base = ["--config", "c", "--out", "o"]
-    assert cli.arguments(base).stages == list(cli.STAGES)
+    assert cli.arguments(base).stages is None and cli.arguments([*base, "--region", "low"]).region == "low"
     assert cli.arguments([*base, "--merge", "--split", "all"]).stages == ["merge"]
-    assert "check" not in cli.arguments([*base, "--no-check"]).stages
+    assert cli.arguments([*base, "--no-check", "--no-weighted-merge"]).left_out == ["check", "weighted_merge"]
 
 
 def test_sources(spark, data, tmp_path):
@@ -178,8 +178,169 @@ def test_ints_are_remapped_in_columns_and_nested_tables(spark, config, tmp_path)
         Pipeline(spark, config, str(tmp_path / "out")).sample("all")
 
 
-def test_no_key_is_passed_over_in_silence():
-    for change in ({"reweighting": {"num_jets_estimate": 1}}, {"resume": True}, {"resampling": CONFIG["resampling"] | {"sampling_fraction": 0.5}}, {"samples": [{"name": "all", "pattern": ["a", "b"], "equal_jets": True}]}):
-        with pytest.raises(NotImplementedError):
-            parse(copy.deepcopy(CONFIG) | change)
-    parse(copy.deepcopy(CONFIG) | {"samples": [{"name": "all", "pattern": ["a", "b"], "equal_jets": False}]})
+def unique_and_written(run):
+    got = run.spark.read.parquet(run.path("upsampling", run.prep.split)).collect()
+    return {r["component"]: (r["unique_rows"], r["written"]) for r in got}
+
+
+def test_sampling_fraction(spark, config, tmp_path):
+    """Drawn with a fraction f, n rows come from n / f rows."""
+    config["resampling"] |= {"method": "pdf", "sampling_fraction": 2.0}
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    run.run(["histograms", "resample"])
+    got = unique_and_written(run)
+    assert all(n <= 20 and w == 40 for c, (n, w) in got.items() if "bjets" not in c) and all(v == (40, 40) for c, v in got.items() if "bjets" in c)
+    config["resampling"]["sampling_fraction"] = 0.001
+    with pytest.raises(ValueError, match="fewer rows"):
+        Pipeline(spark, config, str(tmp_path / "out")).run(["resample"])
+    config["resampling"] |= {"method": "countup", "sampling_fraction": "auto"}
+    for c in config["components"]:
+        c["num_jets"] = 100_000
+    for c in config["components"]:
+        c["flavours"] = ["bjets", "cjets", "ujets"]
+    with pytest.raises(ValueError):
+        Pipeline(spark, config, str(tmp_path / "out")).run(["resample"])
+
+
+def test_region_and_component(spark, config, tmp_path):
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    run.run(["histograms"], component="low_all_cjets", region="low")
+    assert {r[0] for r in spark.read.parquet(run.path("histograms")).select("component").distinct().collect()} == {"low_all_bjets", "low_all_cjets"}
+    run.run(["resample"], region="low", component="low_all_cjets")
+    assert set(unique_and_written(run)) == {"low_all_cjets"}
+    run.run(["histograms"])
+    run.run(["resample"], region="high")
+    assert set(unique_and_written(run)) == {"low_all_cjets", *(f"high_all_{f}" for f in ("bjets", "cjets", "ujets"))}
+    for region, component in ((None, "low_all_cjets"), ("none", None), ("low", "high_all_cjets")):
+        with pytest.raises(ValueError):
+            run.run(["resample"], region=region, component=component)
+    with pytest.raises(ValueError):
+        run.run(["histograms"], component="none")
+
+
+def test_a_run_goes_on_where_it_ended(spark, config, tmp_path):
+    config["resampling"] = {"method": "none"}
+    config["resume"] = True
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    run.run(["resample", "merge"])
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "out/output/train").glob("file_no=*/*.parquet")}
+    before, rows = files(), sorted(map(str, run.merged().collect()))
+    assert len(before) == 3 and len(rows) == 240
+    gone = next(p for p in before if "file_no=1" in str(p))
+    gone.unlink()
+    run.merge()
+    after = files()
+    assert sorted(map(str, run.merged().collect())) == rows and sum(before.get(p) != t for p, t in after.items()) == 1
+    facts = json.loads(spark.read.text(run.path("manifest", "train")).first()[0])
+    assert [g["rows"] for g in facts["groups"]] == [100, 100, 40]
+    other = Pipeline(spark, config | {"num_jets_per_output_file": 120}, str(tmp_path / "out"))
+    other.merge()
+    assert {r["count"] for r in other.merged().where("file_no < 2").groupBy("file_no").count().collect()} == {120}
+
+
+def test_equally_many_rows_of_each_pattern(spark, config, tmp_path):
+    rows = spark.read.parquet(config["samples"][0]["pattern"])
+    rows.where("jet_id % 5 = 0").write.parquet(str(tmp_path / "few"))
+    rows.where("jet_id % 5 > 0").write.parquet(str(tmp_path / "many"))
+    config["samples"][0]["pattern"] = [str(tmp_path / "few"), str(tmp_path / "many")]
+    got = Pipeline(spark, config, str(tmp_path / "out")).sample("all")
+    few = rows.where("jet_id % 5 = 0").count()
+    assert got.where("jet_id % 5 = 0").count() == few == got.where("jet_id % 5 > 0").count() and got.columns == rows.columns
+    config["samples"][0]["equal_jets"] = False
+    assert Pipeline(spark, config, str(tmp_path / "out")).sample("all").count() == rows.count()
+    Pipeline(spark, config, str(tmp_path / "out")).check()
+    with pytest.raises(ValueError):
+        Pipeline(spark, config | {"deviation_factor": 2.0}, str(tmp_path / "out")).check()
+
+
+@pytest.mark.parametrize("together", [False, True])
+def test_test_split_by_sample(spark, config, tmp_path, together):
+    config["samples"].append(config["samples"][0] | {"name": "more"})
+    config["components"].append({"region": "low", "sample": "more", "flavours": ["bjets", "cjets", "ujets"], "num_jets": 40})
+    config["resampling"] = {"method": "none"}
+    config["global"] = {"merge_test_samples": together}
+    for c in config["components"]:
+        c["num_jets_test"] = 5
+    run = Pipeline(spark, config, str(tmp_path / "out"), "test")
+    run.run(["resample", "merge"])
+    assert ("sample_name" in run.merged().columns) != together and run.merged().count() == 45
+
+
+WEIGHTS = [{"group": "jets", "reweight_vars": ["pt", "abs_eta"], "bins": {"pt": [[20000, 250000, 4]], "abs_eta": [[0, 2.5, 2]]}, "class_var": "flavour_label", "class_target": t} for t in ("mean", 0)]
+WEIGHTS.append({"group": "tracks", "reweight_vars": ["dphi"], "bins": {"dphi": [[-0.1, 0.1, 2]]}, "class_var": "leptonid", "class_target": "mean"})
+
+
+def test_weighted_run(spark, config, tmp_path):
+    """In every bin that all classes fill, their weights add up to the same."""
+    config["reweighting"] = {"reweights": WEIGHTS}
+    del config["resampling"]
+    for c in config["components"]:
+        c["num_jets"] = -1
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    for stage in ("reweight", "weighted_merge"):
+        with pytest.raises(AssertionError):
+            run.run([stage])
+    run.run(["split_components"])
+    with pytest.raises(AssertionError):
+        run.run(["weighted_merge"])
+    run.run(["reweight", "weighted_merge", "normalise", "report"])
+    mean, first, tracks = (r.name for r in run.prep.reweightings)
+    rows = run.merged()
+    assert {mean, first, "flavour_label", "component", "pt"} <= set(rows.columns) and tracks in rows.schema["tracks"].dataType.elementType.names
+    binned = rows.withColumn("b", F.concat_ws("/", F.floor((F.col("pt") - 20000) / 57500), F.floor(F.col("abs_eta") / 1.25))).where("pt >= 20000 and pt < 250000 and abs_eta < 2.5")
+    sums = binned.groupBy("b", "flavour_label").agg(F.sum(mean).alias("m"), F.sum(first).alias("f"), F.count(F.lit(1)).alias("n")).collect()
+    for b in {r["b"] for r in sums}:
+        own = [r for r in sums if r["b"] == b]
+        if len(own) == 3:
+            assert len({round(r["m"], 2) for r in own}) == 1 and own[0]["m"] == pytest.approx(sum(r["n"] for r in own) / 3, rel=1e-4)
+            assert {round(r["f"], 1) for r in own} == {float(next(r["n"] for r in own if r["flavour_label"] == 0))}
+        else:
+            assert {r["m"] for r in own} == {0}
+    split = json.loads(spark.read.text(run.path("split-components-manifest")).first()[0])
+    assert sum(split["num_jets"]["train"].values()) == rows.count() and set(split["num_jets"]) == {"train", "val", "test"}
+    assert "campaign" in run.split_rows("test").columns and "campaign" not in run.split_rows("val").columns
+    val = Pipeline(spark, config, str(tmp_path / "out"), "val")
+    val.run(["reweight", "weighted_merge"])
+    assert val.merged().count() == sum(split["num_jets"]["val"].values()) and mean in val.merged().columns
+
+
+def test_weights_from_few_rows(spark, config, tmp_path):
+    """As many rows of each flavour as wanted, or all that there are."""
+    config["reweighting"] = {"num_jets_estimate": 60, "reweights": WEIGHTS[:1]}
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    run.run(["split_components", "reweight"])
+    have = {r["flavour_label"]: r["count"] for r in run.split_rows("train").groupBy("flavour_label").count().collect()}
+    used = {r["flavour_label"]: r["n"] for r in spark.read.parquet(run.path("weights", run.prep.reweightings[0].name)).groupBy("flavour_label").agg(F.sum("n").alias("n")).collect()}
+    assert all(used[f] <= min(60, n) for f, n in have.items()) and max(used.values()) >= 55
+    for bad in ({"num_jets_estimate": 0, "reweights": WEIGHTS}, {"reweights": [WEIGHTS[0] | {"class_target": "median"}]}, {"reweights": [WEIGHTS[0] | {"class_target": None}]}):
+        with pytest.raises(ValueError):
+            parse(config | {"reweighting": bad})
+
+
+def test_moments_of_no_use(spark, config, tmp_path):
+    config["resampling"] = {"method": "none"}
+    config["global_cuts"]["common"] = [["jetfoldhash", "==", 1]]
+    config["variables"]["jets"]["labels"] = ["mass"]
+    for c in config["components"]:
+        c["num_jets"] = -1
+    run = Pipeline(spark, config, str(tmp_path / "out"))
+    run.run(["resample", "merge"])
+    assert run.normalise()["norm"]["jets"]["mass"]["std"] > 0
+    run.merged().withColumn("mass", F.lit(1.0)).write.parquet(str(tmp_path / "flat"))
+    run.merged = lambda: spark.read.parquet(str(tmp_path / "flat"))
+    with pytest.raises(AssertionError):
+        run.normalise()
+
+
+def test_checked_configuration():
+    two = copy.deepcopy(CONFIG)
+    two["samples"].append({"name": "more", "pattern": "x"})
+    two["components"].append({"region": "low", "sample": "more", "flavours": ["bjets"], "num_jets": 40})
+    with pytest.raises(AssertionError):
+        parse(two)
+    for change in ({"sampling_fraction": 0}, {"sampling_fraction": "most"}):
+        with pytest.raises(ValueError):
+            parse(copy.deepcopy(CONFIG) | {"resampling": CONFIG["resampling"] | change})
+    with pytest.raises(ValueError):
+        parse(copy.deepcopy(CONFIG) | {"global": {"num_jets_estimate_hist": -5}})
+    assert parse(CONFIG).resampling.pieces == ((4, 2), (2,))
