@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.text import canonical
 from tallyforge.llm import mixing, proportional
-from tallyforge.session import cut_lineage, read_table
+from tallyforge.session import bounded, cut_lineage, read_table
 
 CANON = "regexp_replace(lower({0}), '[\\s_-]+', '', 'g')"
 
@@ -44,7 +44,7 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     Read off the mix: every component was used as often as may be, and the sample's size is still below its target.
     """
     parts, targets = _mix_targets(spark, sf)
-    plan = mixing.source_plan(parts, targets, "config_id", "sample", "estimate")
+    plan = cut_lineage(mixing.source_plan(parts, targets, "config_id", "sample", "estimate"))
     mixed = mixing.mix_sources(parts, plan, "config_id", "sample", ["component_id"], "estimate")
     report = mixing.mix_report(mixed, plan, "config_id", "sample", "estimate")
     return report.where("actual_size < target_size and emitted = max_repeat * n_records").select("config_id", "sample")
@@ -61,9 +61,9 @@ def _campaign_jets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixed_jets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    _, targets = _mix_targets(spark, sf)
+    targets = cut_lineage(_mix_targets(spark, sf)[1])
     wanted = targets.select("config_id", F.col("sample"), "campaign")
-    jets = _campaign_jets(spark, sf).join(wanted, ["campaign", "sample"]).select("config_id", "sample", "jet_id", F.lit(1).alias("size"))
+    jets = _campaign_jets(spark, sf).join(bounded(wanted), ["campaign", "sample"]).select("config_id", "sample", "jet_id", F.lit(1).alias("size"))
     plan = cut_lineage(mixing.source_plan(jets, targets, "config_id", "sample", "size"))
     return mixing.mix_sources(jets, plan, "config_id", "sample", ["jet_id"], "size"), plan
 

@@ -14,10 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.randomness import hash_uniform
-from tallyforge.operators.ranking import bucketed_rank
-
-#: Records of a source that are sorted together.
-BUCKET_ROWS = 100_000
+from tallyforge.operators.ranking import BUCKET_ROWS, bucketed_rank
+from tallyforge.session import bounded
 
 
 def source_plan(records: DataFrame, targets: DataFrame, mix: str, source: str, size: str) -> DataFrame:
@@ -56,7 +54,7 @@ def mix_sources(records: DataFrame, plan: DataFrame, mix: str, source: str, key:
     same = F.col(mix).eqNullSafe(F.col("__m")) & F.col(source).eqNullSafe(F.col("__s"))
     drawn = (
         records.select(mix, source, *key, size)
-        .join(p, on=same, how="inner")
+        .join(bounded(p), on=same, how="inner")
         .withColumn("__u", hash_uniform(seed, mix, *key))
     )
     bucket = F.floor(F.col("__u") * F.ceil(F.col("n_records") / F.lit(BUCKET_ROWS)))

@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.randomness import hash_uniform
-from tallyforge.operators.ranking import bucketed_rank
-
-#: Records that are sorted together, when ranked and when the smallest priorities are found.
-BUCKET_ROWS = 100_000
+from tallyforge.operators.ranking import BUCKET_ROWS, bucketed_rank
+from tallyforge.session import bounded
 
 
 def with_availability(records: DataFrame, targets: DataFrame, group: str, category: str, key: str) -> DataFrame:
@@ -48,14 +46,14 @@ def proportional_sample(records: DataFrame, targets: DataFrame, group: str, cate
         "available",
     )
     same = F.col("__g").eqNullSafe(F.col("__tg")) & F.col("__c").eqNullSafe(F.col("__tc"))
-    drawn = _distinct(records, group, category, key).join(t, on=same, how="inner").withColumn("__u", hash_uniform(seed, by, "__key"))
+    drawn = _distinct(records, group, category, key).join(bounded(t), on=same, how="inner").withColumn("__u", hash_uniform(seed, by, "__key"))
     rank_bucket = F.floor(F.col("__u") * F.ceil(F.col("available") / F.lit(BUCKET_ROWS)))
     ranked = bucketed_rank(drawn, [by, "__c"], rank_bucket, [F.col("__u"), F.col("__key")], "rank")
     # No category can get more than all seats; a category of weight 0 ends at its floor.
     able = ranked.where((F.col("rank") <= F.col("__seats")) & ((F.col("__target") > 0) | (F.col("rank") <= F.col("__floor"))))
     total = t.groupBy(F.col(by).alias("__b")).agg(F.sum("__target").alias("__sum"))
     ordered = (
-        able.join(total, on=F.col(by).eqNullSafe(F.col("__b")), how="inner")
+        able.join(bounded(total), on=F.col(by).eqNullSafe(F.col("__b")), how="inner")
         .withColumn("by_floor", F.col("rank") <= F.col("__floor"))
         .withColumn("__share", F.coalesce(F.try_divide("__target", "__sum"), F.lit(0.0)))
         .withColumn("__priority", F.coalesce(F.try_divide(F.col("rank") - 0.5, "__share"), F.lit(float("inf"))))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.commit_parts import pieces
 from tallyforge.llm.residue_rules import judge
-from tallyforge.session import cut_lineage, spread
+from tallyforge.session import bounded, cut_lineage, spread
 
 #: Words of a shingle, and the least share of common shingles of near-duplicates.
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -131,17 +131,12 @@ def _is_slot() -> Column:
     return F.col("key") >= F.lit(1 << 40)
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """``df`` to be broadcast if it has at most BROADCAST_ROWS rows; else it is shuffled like the other side."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _alike(keys: DataFrame, known: DataFrame, others: DataFrame) -> DataFrame:
     """set_id and label of ``others`` that share one of ``keys`` (of ``known``) and are alike in truth."""
     far = F.bit_count(F.col("signature").bitwiseXOR(F.col("known_signature"))) > HAMMING
     other_size = F.least("size", "known_size") < SIMILARITY * F.greatest("size", "known_size") - 1e-9
     theirs = keys.withColumnsRenamed({"set_id": "known_id", "signature": "known_signature", "size": "known_size"})
-    met = _keys(others).join(_bounded(theirs), "key").where(~F.coalesce(far, other_size)).select("set_id", "known_id").distinct()
+    met = _keys(others).join(bounded(theirs, BROADCAST_ROWS), "key").where(~F.coalesce(far, other_size)).select("set_id", "known_id").distinct()
     x = known.select(F.col("set_id").alias("known_id"), "label", F.col("shingles").alias("known_shingles"))
     y = others.select("set_id", "shingles")
     alike = F.size(F.array_intersect("shingles", "known_shingles")) >= SIMILARITY * F.size(F.array_union("shingles", "known_shingles")) - 1e-9
