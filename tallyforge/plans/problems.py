@@ -9,7 +9,7 @@ from tallyforge.functions.randomness import md5_uniform_sql
 from tallyforge.functions.text import canonical
 from tallyforge.operators import archive, drift
 from tallyforge.operators.skew import salted_aggregate
-from tallyforge.session import read_table
+from tallyforge.session import cut_lineage, read_table
 
 CANON = "regexp_replace(lower({0}), '[\\s_-]+', '', 'g')"
 
@@ -22,7 +22,8 @@ def _label_values(spark: SparkSession, sf: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Values that more than one eighth of their table's rows hold."""
-    per_value = salted_aggregate(_label_values(spark, sf), ["field_name", "field_value"], {"n": ("count", F.lit(1))})
+    # A row per value, stored as it is used twice.
+    per_value = cut_lineage(salted_aggregate(_label_values(spark, sf), ["field_name", "field_value"], {"n": ("count", F.lit(1))}))
     total = per_value.groupBy("field_name").agg(F.sum("n").alias("total"))
     return per_value.join(total, "field_name").where("field_value is not null and n * 8 > total").select("field_name", "field_value")
 
