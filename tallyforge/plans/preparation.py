@@ -573,3 +573,80 @@ def plot_captions(spark: SparkSession, sf: str) -> DataFrame:
 @_query(f"with {J} select jet_id, {md5_uniform_sql('s', 'jet_id')} as u from j")
 def seeded_uniform(spark: SparkSession, sf: str) -> DataFrame:
     return _jets(spark, sf).select("jet_id", md5_uniform("s", "jet_id").alias("u"))
+
+
+# --- smaller operators -----------------------------------------------------------------------------------------------
+@_query(f"with {J} select jet_id from j where pt > 0 and pt < 6000000 and abs_eta > 0 and abs_eta < 2.5 and isfinite(pt) and isfinite(abs_eta)")
+def bin_range_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows strictly within the first and last edge of every binned variable."""
+    cuts = Cuts.of([(v, op, e) for v, bins in BINS.items() for op, e in ((">", bins[0]), ("<", bins[-1]))])
+    return _jets(spark, sf, *BINS, where=cuts.column()).select("jet_id")
+
+
+@_query(f"""with {J} select jet_id, momentum, len(tracks) as slots, round(list_sum(list_transform(tracks, lambda t: cast(t.d0 as double))), 5) as sum_d0
+from (select jet_id, pt as momentum, tracks from j)""")
+def projected_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A sample of several files read under other names, with chosen columns and nested fields alone."""
+    rows = tables.read_sample(spark, [f"{sf}/jets.parquet"], {"pt": "momentum"}).dropDuplicates(["jet_id"])
+    kept = tables.project(rows, {"jets": ["momentum"], "tracks": ["d0"]}, ["jet_id"])
+    return kept.select("jet_id", "momentum", F.size("tracks").cast("bigint").alias("slots"), F.round(F.aggregate("tracks", F.lit(0.0), lambda a, t: a + t["d0"].cast("double")), 5).alias("sum_d0"))
+
+
+@_query(f"with {J} select jet_id, coalesce(flavour_label, -1) as kept, cast(7 as int) as written from j")
+def label_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A constant label leaves an existing column as it is, unless it is to be overwritten."""
+    rows = _jets(spark, sf, "flavour_label")
+    kept = merging.with_label(rows, 7)
+    both = merging.with_label(kept.withColumn("written", F.lit(0)), 7, "written", overwrite=True)
+    return both.select("jet_id", F.coalesce("flavour_label", F.lit(-1)).alias("kept"), "written")
+
+
+@_query("""select o_orderkey, count(l_orderkey) as n_items, cast(coalesce(sum(l_linenumber), 0) as bigint) as numbers, round(coalesce(sum(l_quantity), 0), 4) as quantity
+from orders left join lineitem on l_orderkey = o_orderkey group by o_orderkey""")
+def nested_zip(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat tables zipped by key: every order with its items as an array, none left out."""
+    items = read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    rows = tables.nest(read_table(spark, sf, "orders").select("o_orderkey"), items, "o_orderkey", "items")
+    total = lambda c, zero: F.aggregate("items", F.lit(zero), lambda a, i: a + i[c])
+    return rows.select("o_orderkey", F.size("items").cast("bigint").alias("n_items"), total("l_linenumber", 0).cast("bigint").alias("numbers"), F.round(total("l_quantity", 0.0), 4).alias("quantity"))
+
+
+@_query(f"with {_DENSE} select b0, b1, round(sqrt(avg(n)), 6) as target from d group by b0, b1")
+def rw_target_hook(spark: SparkSession, sf: str) -> DataFrame:
+    """A target that a function changes at last; it is also checked."""
+    target = reweighting.target_histogram(_class_hist(spark, sf), "flavour_label", "mean", OVER, func=F.sqrt)
+    reweighting.check_target(target)
+    return target.withColumn("target", F.round("target", 6))
+
+
+@_query(f"{'with ' + _COUNTS} select * from c where variable = 'flavour_label'")
+def merged_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Class counts of two halves added label by label."""
+    rows = _jets(spark, sf, "flavour_label", "jetfoldhash")
+    halves = [normalisation.class_counts(rows.where(f"pmod(jetfoldhash, 2) = {i}"), ["flavour_label"]) for i in (0, 1)]
+    return normalisation.merge_counts(*halves)
+
+
+@_query(f"""with {J}, e as (select unnest(tracks) as t from j) select 'tracks.leptonid' as variable, cast(t.leptonid as bigint) as label, count(*) as n
+from e where t.valid and t.leptonid is not null group by all""")
+def nested_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Class counts of the labels inside the valid tracks."""
+    return normalisation.nested_class_counts(_tracked(spark, sf), "tracks")
+
+
+@_query(f"""with {_WEIGHTS}, x as (select flavour_label, {_bin('pt', OVER['pt'])} as b0, {_bin('abs_eta', OVER['abs_eta'])} as b1 from l),
+v as (select flavour_label, coalesce(weight, 0) as weight from x left join w using (flavour_label, b0, b1)),
+c as (select flavour_label, cast(least(greatest(floor((weight - 0.0) / 0.1), 0), 99) as int) as bin, count(*) as n from v group by all)
+select flavour_label, bin, n, round(n / sum(n) over (partition by flavour_label), 9) as share from c""")
+def weight_hist(spark: SparkSession, sf: str) -> DataFrame:
+    """The distribution of the weights that the rows of each class get, in 100 bins."""
+    jets = reweighting.apply_weights(_labelled(spark, sf, "pt", "abs_eta"), _weights(spark, sf), "flavour_label", OVER, "weight")
+    return reporting.plot_histogram(jets, ["flavour_label"], "weight", 0.0, 10.0, 100).withColumn("share", F.round("share", 9))
+
+
+@_query(f"""with {J}, r as ({_ROUTED}), x as (select component, {CANON_SAMPLE} as sample, cast(least(greatest(floor((cast(pt as double) - 20000.0) / 119600.0), 0), 49) as int) as bin from r join j using (jet_id) where sample is not null),
+c as (select sample, component, bin, count(*) as n from x group by all) select sample, component, bin, n, round(n / sum(n) over (partition by sample, component), 9) as share from c""")
+def initial_distributions(spark: SparkSession, sf: str) -> DataFrame:
+    """Distributions before any balancing, per sample, region and flavour."""
+    rows = _routed(spark, sf, "sample").where("sample is not null").select(canonical("sample").alias("sample"), "component", "pt")
+    return reporting.plot_histogram(rows, ["sample", "component"], "pt", 20_000.0, 6_000_000.0).withColumn("share", F.round("share", 9))

@@ -14,6 +14,7 @@ from tallyforge.operators.reweighting import weight_name
 from tallyforge.plans.pipeline import Pipeline
 from tallyforge.plans.preparation import J, _bin
 from tallyforge.session import read_table, shared_folder
+from tallyforge.streaming import moments
 
 PT, ETA, PHI = [[20_000, 100_000, 8], [100_000, 1_000_000, 6]], [[0, 2.5, 5]], [[-0.2, 0.2, 8]]
 CAPS = {"bjets": 300, "cjets": 200, "ujets": -1}
@@ -91,7 +92,16 @@ def run_resampled(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.merged().groupBy("component", "flavour_label").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (run_weighted, run_split_counts, run_statistics, run_capped, run_resampled)}
+def run_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Moments of the jets as a stream of files gives them, a part per micro-batch."""
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    rows = read_table(spark, sf, "jets").select("jet_id", "pt", "mass").dropDuplicates(["jet_id"])
+    rows.write.parquet(f"{folder}/in")
+    moments.watch(spark, f"{folder}/in", rows.schema, f"{folder}/out", ["pt", "mass"]).awaitTermination()
+    return moments.moments(spark, f"{folder}/out").select("variable", "n", F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"))
+
+
+QUERIES = {f.__name__: f for f in (run_streamed, run_weighted, run_split_counts, run_statistics, run_capped, run_resampled)}
 
 _FLAVOUR = "case when hadronconeexcltruthlabelid = 5 then 0 when hadronconeexcltruthlabelid = 4 then 1 when hadronconeexcltruthlabelid in (0, 1, 2, 3) then 2 end"
 _ROWS = f"{J}, f as (select *, {_FLAVOUR} as flavour from j)"
@@ -99,6 +109,9 @@ _TRAIN = f"{_ROWS}, r as (select jet_id, flavour as flavour_label, pt, {half_sql
 _PT, _ETA, _PHI = with_overflow(edges(PT)), with_overflow(edges(ETA)), with_overflow(edges(PHI))
 
 SQL = {
+    "run_streamed": f"""
+with {J}, x as (select 'pt' as variable, cast(pt as double) as x from j union all select 'mass', cast(mass as double) from j)
+select variable, count(*) as n, round(avg(x), 3) as mean, round(stddev_pop(x), 3) as std from x where x is not null and isfinite(x) group by all""",
     "run_weighted": f"""
 with {_TRAIN}, b as (select *, {_bin('pt', _PT)} as b0, {_bin('abs_eta', _ETA)} as b1 from r),
 h as (select flavour_label, b0, b1, count(*) as n from b where b0 is not null and b1 is not null group by all),
