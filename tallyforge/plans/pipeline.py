@@ -151,7 +151,8 @@ class Pipeline:
         if others := [c for c in chosen if c.name not in plain]:
             # Drawn with a fraction f, n rows come from n / f random ones.
             source = {c.name: -1 if c.num_jets < 0 else int(np.ceil(round(c.num_jets / fractions[c.name], 6))) for c in others}
-            parts.append(self._drawn(resampling.cap(rows, "component", source, self.key, f"{self.seed}source"), others, draws))
+            few = resampling.cap(rows.select("component", self.key, *how.bins), "component", source, self.key, f"{self.seed}source")
+            parts.append(self._drawn(stored(few, "source"), others, draws))
         drawn = reduce(lambda a, b: a.unionByName(b), parts)
         out = self.path("components", self.prep.split)
         rows.join(drawn, ["component", self.key]).hint("rebalance", "component").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("component").parquet(out)
