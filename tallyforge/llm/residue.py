@@ -159,17 +159,18 @@ def near_labelled(known: DataFrame, others: DataFrame) -> DataFrame:
     return first.unionByName(cut_lineage(_alike(more, known, others.join(first, "set_id", "left_anti"))))
 
 
-def _spread_labels(last: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Labels of ``last`` carried along the links of ``others`` until nothing new is reached: all that have one, and the rest.
+def _spread_labels(last: DataFrame, others: DataFrame) -> DataFrame:
+    """set_id and label of ``last`` and of all ``others`` that labels reach along links.
 
     Labels move one link at a time from the sets that got one last, so every set is compared as a labelled one once;
-    each round is checkpointed, so that neither plans nor lost executors bring rounds back.
+    each round is checkpointed, so that neither plans nor lost executors bring rounds back. It ends with the first
+    round that reaches nothing new.
     """
     reached = last.select("set_id", "label")
     while True:
         new = near_labelled(last, others)
         if new.isEmpty():
-            return reached, others
+            return reached
         reached = reached.unionByName(new)
         last = others.join(new, "set_id")
         others = others.join(new, "set_id", "left_anti")
@@ -201,6 +202,7 @@ def labelled_sets(signed: DataFrame) -> DataFrame:
 
     Pieces of equal shingle sets are one node, so that many of them make no pairs. A set has the label that the form of
     its pieces tells if that is so for at least TRUSTED of them: a sentence that is mostly used otherwise was only quoted.
+    Sentences spliced of such ones come next; from all of these, labels pass along the links.
     """
     told = F.count("label") >= TRUSTED * F.count(F.lit(1))
     one = signed.groupBy("set_id").agg(
@@ -208,12 +210,8 @@ def labelled_sets(signed: DataFrame) -> DataFrame:
     )
     nodes = cut_lineage(one)
     known, others = nodes.where("label is not null"), nodes.where("label is null").drop("label")
-    reached, others = _spread_labels(known, others)
-    more = cut_lineage(spliced(nodes.drop("label").join(reached, "set_id"), others))
-    if more.isEmpty():
-        return reached
-    also, _ = _spread_labels(others.join(more, "set_id"), others.join(more, "set_id", "left_anti"))
-    return reached.unionByName(also)
+    more = cut_lineage(spliced(known, others))
+    return _spread_labels(known.unionByName(others.join(more, "set_id"), allowMissingColumns=True), others.join(more, "set_id", "left_anti"))
 
 
 def residue(docs: DataFrame, key: str = "doc_id", text: str = "text", links: bool = True) -> DataFrame:
