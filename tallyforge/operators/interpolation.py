@@ -1,4 +1,4 @@
-"""Finer ratio grids from coarse ones. A grid has one number per bin and class, so this is array work on the driver."""
+"""Finer ratio grids from coarse ones. A grid has one number per bin of a component, so this is array work within a task."""
 
 from __future__ import annotations
 

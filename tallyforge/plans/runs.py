@@ -77,11 +77,40 @@ def run_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("group", "variable", F.round("m.mean", 4).alias("mean"), F.round("m.std", 4).alias("std"))
 
 
+def run_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """The weight of every flavour and bin as a weighted run stores it."""
+    pipeline = _weighting(spark, sf, "split_components", "reweight")
+    stored = next(pipeline.weights(r) for r in pipeline.prep.reweightings if r.group == "jets")
+    return stored.select("flavour_label", "b0", "b1", F.round("weight", 9).alias("weight"))
+
+
+def run_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The distribution of pt in every component, as a weighted run reports it of what it wrote."""
+    pipeline = _weighting(spark, sf, "split_components", "reweight", "weighted_merge", "report")
+    return spark.read.parquet(pipeline.path("report", "train", "pt")).withColumn("share", F.round("share", 9))
+
+
+def _capped(spark: SparkSession, sf: str, *stages: str) -> Pipeline:
+    components = [{"region": "wide", "sample": "all", "flavours": [f], "num_jets": n} for f, n in CAPS.items()]
+    return _run(spark, sf, list(stages), components=components)
+
+
+def run_components(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of every component as a run without resampling stores them before they are merged."""
+    rows = spark.read.parquet(_capped(spark, sf, "resample").path("components", "train"))
+    return rows.select("jet_id", "component", "copies")
+
+
+def run_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every output file, as the manifest of a run tells them."""
+    facts = spark.read.text(_capped(spark, sf, "resample", "merge").path("manifest", "train"))
+    return facts.select(F.inline(F.from_json("value", "groups array<struct<file_no int, rows bigint>>")["groups"]))
+
+
 def run_capped(spark: SparkSession, sf: str) -> DataFrame:
     """The rows of a run without resampling as written: at most so many of each flavour, in shuffled files."""
-    components = [{"region": "wide", "sample": "all", "flavours": [f], "num_jets": n} for f, n in CAPS.items()]
-    pipeline = _run(spark, sf, ["check", "resample", "merge"], components=components)
-    return pipeline.merged().select("jet_id", "component", "flavour_label", F.col("file_no").cast("int").alias("file_no"))
+    rows = _capped(spark, sf, "check", "resample", "merge").merged()
+    return rows.select("jet_id", "component", "flavour_label", F.col("file_no").cast("int").alias("file_no"))
 
 
 def run_resampled(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,22 +130,28 @@ def run_streamed(spark: SparkSession, sf: str) -> DataFrame:
     return moments.moments(spark, f"{folder}/out").select("variable", "n", F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"))
 
 
-QUERIES = {f.__name__: f for f in (run_streamed, run_weighted, run_split_counts, run_statistics, run_capped, run_resampled)}
+QUERIES = {f.__name__: f for f in (run_streamed, run_weighted, run_weights, run_split_counts, run_statistics, run_report, run_components, run_manifest, run_capped, run_resampled)}
 
 _FLAVOUR = "case when hadronconeexcltruthlabelid = 5 then 0 when hadronconeexcltruthlabelid = 4 then 1 when hadronconeexcltruthlabelid in (0, 1, 2, 3) then 2 end"
 _ROWS = f"{J}, f as (select *, {_FLAVOUR} as flavour from j)"
 _TRAIN = f"{_ROWS}, r as (select jet_id, flavour as flavour_label, pt, {half_sql('abs_eta')} as abs_eta, tracks, eventnumber from f where flavour is not null and pt > 20000 and pt < 6000000 and eventnumber % 10 <= 7)"
 _PT, _ETA, _PHI = with_overflow(edges(PT)), with_overflow(edges(ETA)), with_overflow(edges(PHI))
 
+_WEIGHTS = f"""{_TRAIN}, b as (select *, {_bin('pt', _PT)} as b0, {_bin('abs_eta', _ETA)} as b1 from r),
+h as (select flavour_label, b0, b1, count(*) as n from b where b0 is not null and b1 is not null group by all),
+d as (select c.flavour_label, g.b0, g.b1, coalesce(n, 0) as n from (select distinct flavour_label from h) c cross join (select distinct b0, b1 from h) g left join h using (flavour_label, b0, b1)),
+w as (select flavour_label, b0, b1, case when min(n) over (partition by b0, b1) = 0 then 0.0 else avg(n) over (partition by b0, b1) / n end as weight from d)"""
+_CAPPED = f"""{_TRAIN}, c as (select jet_id, flavour_label, 'wide_all_' || ['bjets', 'cjets', 'ujets'][flavour_label + 1] as component from r),
+k as (select *, row_number() over (partition by component order by {md5_uniform_sql(42, 'jet_id')}, jet_id) as rank from c),
+g as (select * from k where rank <= [{', '.join(str(n if n >= 0 else 2**62) for n in CAPS.values())}][flavour_label + 1])"""
+_FILED = f"""{_CAPPED}, filed as (select jet_id, component, flavour_label, cast((row_number() over (order by {md5_uniform_sql(42, "concat_ws('/', jet_id, component, 1)")}, concat_ws('/', jet_id, component, 1)) - 1) // {PER_FILE} as int) as file_no from g)"""
+
 SQL = {
     "run_streamed": f"""
 with {J}, x as (select 'pt' as variable, cast(pt as double) as x from j union all select 'mass', cast(mass as double) from j)
 select variable, count(*) as n, round(avg(x), 3) as mean, round(stddev_pop(x), 3) as std from x where x is not null and isfinite(x) group by all""",
     "run_weighted": f"""
-with {_TRAIN}, b as (select *, {_bin('pt', _PT)} as b0, {_bin('abs_eta', _ETA)} as b1 from r),
-h as (select flavour_label, b0, b1, count(*) as n from b where b0 is not null and b1 is not null group by all),
-d as (select c.flavour_label, g.b0, g.b1, coalesce(n, 0) as n from (select distinct flavour_label from h) c cross join (select distinct b0, b1 from h) g left join h using (flavour_label, b0, b1)),
-w as (select flavour_label, b0, b1, case when min(n) over (partition by b0, b1) = 0 then 0.0 else avg(n) over (partition by b0, b1) / n end as weight from d),
+with {_WEIGHTS},
 t as (select jet_id, t.valid as valid, t.leptonid as leptonid, {_bin('t.dphi', _PHI)} as k from (select jet_id, unnest(tracks) as t from r)),
 th as (select leptonid, k, count(*) as n from t where valid and leptonid is not null and k is not null group by all),
 td as (select c.leptonid, g.k, coalesce(n, 0) as n from (select distinct leptonid from th) c cross join (select distinct k from th) g left join th using (leptonid, k)),
@@ -134,11 +169,14 @@ with {_TRAIN}, v as (select t.* from (select unnest(tracks) as t from r) where t
   select 'jets' as "group", 'pt' as variable, cast(pt as double) as x from r union all select 'jets', 'abs_eta', cast(abs_eta as double) from r
   union all select 'tracks', 'dphi', cast(dphi as double) from v union all select 'tracks', 'd0', cast(d0 as double) from v
 ) select "group", variable, round(avg(x), 4) as mean, round(stddev_pop(x), 4) as std from m where x is not null and isfinite(x) group by all""",
+    "run_weights": f"with {_WEIGHTS} select flavour_label, b0, b1, round(weight, 9) as weight from w",
+    "run_report": f"""
+with {_TRAIN}, x as (select 'wide_all_' || ['bjets', 'cjets', 'ujets'][flavour_label + 1] as component, cast(least(greatest(floor((cast(pt as double) - 20000.0) / 19600.0), 0), 49) as int) as bin from r),
+c as (select component, bin, count(*) as n from x group by all) select component, bin, n, round(n / sum(n) over (partition by component), 9) as share from c""",
+    "run_components": f"with {_CAPPED} select jet_id, component, cast(1 as bigint) as copies from g",
+    "run_manifest": f"with {_FILED} select file_no, count(*) as rows from filed group by file_no",
     "run_capped": f"""
-with {_TRAIN}, c as (select jet_id, flavour_label, 'wide_all_' || ['bjets', 'cjets', 'ujets'][flavour_label + 1] as component from r),
-k as (select *, row_number() over (partition by component order by {md5_uniform_sql(42, 'jet_id')}, jet_id) as rank from c),
-g as (select * from k where rank <= [{', '.join(str(n if n >= 0 else 2**62) for n in CAPS.values())}][flavour_label + 1])
-select jet_id, component, flavour_label, cast((row_number() over (order by {md5_uniform_sql(42, "concat_ws('/', jet_id, component, 1)")}, concat_ws('/', jet_id, component, 1)) - 1) // {PER_FILE} as int) as file_no from g""",
+with {_FILED} select * from filed""",
     "run_resampled": f"""
 with {_TRAIN} select 'wide_all_' || ['bjets', 'cjets', 'ujets'][flavour_label + 1] as component, flavour_label, least(count(*), {DRAWN}) as n from r where abs_eta < 2.5 group by flavour_label""",
 }
