@@ -41,7 +41,7 @@ KEYS = ("asd", "asdf", "asdfg", "asdfgh", "fdsa", "ghjk", "hjkl", "jkl", "qwer",
 # --- end of fixed values ----------------------------------------------------------------------------------------
 
 _SLOT = r"(?:(?:pr|change|commit|issue|mr)[._ ]?)?(?:" + "|".join(s.replace("_", "[_ ]?") for s in SLOTS) + ")"
-_ASK = r"(?=[^\[\]<>«»]*\b(?:" + "|".join(ASKING) + r")\b)[^\[\]<>«»@/\"=]{3,60}"
+_ASK = r"(?=[^\[\]<>«»]*\b(?:" + "|".join(ASKING) + r")\b)[^\[\]<>«»@/\"=]{3,}"
 PLACEHOLDER = re.compile(
     r"\{\{\s*[\w.]+\s*\}\}|\{%\s*[\w.]+\s*%\}|<%=?\s*[\w.]+\s*%>|\$\{[\w.]+\}|\$\[[\w.]+\]|#\{[\w.]+\}|%\([\w.]+\)s|@@\w+?@@|\b__[A-Za-z]\w*?__\b"
     rf"|%{_SLOT}%|\[\[\s*[\w.]+\s*\]\]|\{{{_SLOT}\}}|<{_SLOT}>|\[{_SLOT}\]|«{_SLOT}»|\[{_ASK}\]|<{_ASK}>|«{_ASK}»",
