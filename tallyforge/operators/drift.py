@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyforge.session import cut_lineage, spread
+from tallyforge.session import bounded, cut_lineage, spread
 
 #: Columns of the reference table by nesting, with their type as it is written.
 TOP = {
@@ -266,7 +266,8 @@ def correspondences(schemas: DataFrame, recs: DataFrame, jets: DataFrame) -> Dat
     """The column (``quantity``) that each producer's field carries: producer, name, quantity, score.
 
     ``schemas`` has producer and fields (name, kind) of every dump. Producers are flooded together by hash, some
-    PRODUCERS_AT_ONCE; a group has as many rows as its producers have distinct fields, times the columns.
+    PRODUCERS_AT_ONCE; a group has as many rows as its producers have distinct fields, times the columns. The result
+    is stored.
     """
     seen = agreement(recs, jets)
     overall = seen.groupBy("name", "quantity").agg((F.sum("hits") / F.sum("n")).alias("everywhere"))
@@ -287,7 +288,7 @@ def correspondences(schemas: DataFrame, recs: DataFrame, jets: DataFrame) -> Dat
     pairs = able.join(n, on=same, how="left").join(overall, ["name", "quantity"], "left").select("producer", "name", "kind", "together", "quantity", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("hits", F.lit(0)).alias("hits"), "everywhere")
     groups = schemas.agg(F.ceil(F.approx_count_distinct("producer") / F.lit(PRODUCERS_AT_ONCE)).alias("g")).scalar()
     bucket = F.pmod(F.xxhash64("producer"), F.greatest(groups, F.lit(1))).alias("bucket")
-    return pairs.groupBy(bucket).applyInPandas(choose, "producer string, name string, quantity string, score double")
+    return cut_lineage(pairs.groupBy(bucket).applyInPandas(choose, "producer string, name string, quantity string, score double"))
 
 
 SCHEMA_SCHEMA = "producer string, seq_no int, dump_id bigint, fields array<struct<name string, kind string>>"
@@ -335,7 +336,7 @@ def schemas_of(dumps: DataFrame) -> DataFrame:
 def _schemas(each: DataFrame, columns: DataFrame) -> DataFrame:
     """``each`` (of ``schemas_of``) with its fields (``now``) as (name, kind, quantity), by name."""
     named = each.select("producer", "seq_no", "dump_id", F.inline_outer("fields"))
-    carried = columns.select(F.col("producer").alias("__p"), F.col("name").alias("__n"), "quantity")
+    carried = bounded(columns.select(F.col("producer").alias("__p"), F.col("name").alias("__n"), "quantity"))
     same = F.col("producer").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n"))
     field = F.when(F.col("name").isNotNull(), F.struct("name", "kind", "quantity"))
     return named.join(carried, on=same, how="left").groupBy("producer", "seq_no", "dump_id").agg(F.array_sort(F.collect_list(field)).alias("now"))
@@ -409,7 +410,7 @@ def unified(dumps: DataFrame, jets: DataFrame) -> DataFrame:
     dumps = dumps.join(first, "dump_id", "left_semi")
     recs = records(dumps)
     names = correspondences(schemas_of(dumps), recs, jets).groupBy(F.col("producer").alias("__p")).agg(F.map_from_entries(F.collect_list(F.struct("name", "quantity"))).alias("__map"))
-    rows = recs.join(names, on=F.col("producer").eqNullSafe(F.col("__p")), how="left").select(
+    rows = recs.join(bounded(names), on=F.col("producer").eqNullSafe(F.col("__p")), how="left").select(
         "dump_id",
         "rec_no",
         "jet_id",
